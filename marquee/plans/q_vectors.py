@@ -59,7 +59,7 @@ def ann_index_build(spark, sf):
     )
 
 
-@query("ann_index_sync", "SELECT vec_id AS movie_id, label, CAST(round(CAST(embedding[1] AS DOUBLE), 4) AS DOUBLE) AS first FROM embeddings")
+@query("ann_index_sync", "SELECT vec_id AS movie_id, label, CAST(floor(CAST(embedding[1] AS DOUBLE) * 1000 + 0.5) AS BIGINT) AS first FROM embeddings")
 def ann_index_sync(spark, sf):
     """Index an older snapshot (one label missing, one reversed, one extra row per label), then apply the changes to today's."""
     after = V.vectors(spark, sf)
@@ -72,7 +72,7 @@ def ann_index_sync(spark, sf):
     path = scratch_dir(spark, "index")
     model = ann.build_index(before, path, _DIM, cells=16)
     ann.sync_index(spark, path, change_feed(before, after, ["movie_id"]), model, _DIM, "movie_id")
-    first = F.round(F.element_at("embedding_vector", 1).cast("double"), 4)
+    first = F.floor(F.element_at("embedding_vector", 1).cast("double") * 1000 + 0.5)
     return spark.read.parquet(path).select("movie_id", "label", first.alias("first"))
 
 
@@ -231,12 +231,13 @@ def _recommend(spark, sf, find):
 @query(
     "recommend_for_groups",
     with_views(
-        """SELECT group_id, movie_id, title, similarity,
-             CAST(row_number() OVER (PARTITION BY group_id ORDER BY similarity DESC, movie_id) AS INTEGER) AS rank
+        """SELECT group_id, movie_id, title, similarity, CAST(pick AS INTEGER) AS rank FROM (
+           SELECT group_id, movie_id, title, similarity,
+             row_number() OVER (PARTITION BY group_id ORDER BY similarity DESC, movie_id) AS pick
            FROM taste JOIN (SELECT * FROM hits WHERE hits.rank <= 40) USING (query_id) JOIN movies USING (movie_id)
            WHERE NOT EXISTS (SELECT 1 FROM watchlist w WHERE w.group_id = taste.group_id AND w.movie_id = movies.movie_id)
-             AND NOT EXISTS (SELECT 1 FROM recommendations s WHERE s.group_id = taste.group_id AND s.movie_id = movies.movie_id)
-           QUALIFY rank <= 3""",
+             AND NOT EXISTS (SELECT 1 FROM recommendations s WHERE s.group_id = taste.group_id AND s.movie_id = movies.movie_id))
+           WHERE pick <= 3""",
         V.MOVIES,
         V.WATCHLIST,
         V.RECOMMENDATIONS,
