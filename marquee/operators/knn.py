@@ -8,11 +8,12 @@ are answered block after block, each an exact pass, so the number of queries has
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
@@ -79,12 +80,11 @@ def _add_block(best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarr
         best.add(which[c], sims[r, c], ids[at : at + step][r])
 
 
-def _scan(index: DataFrame, id_col: str, vec_col: str, block, k: int, probes=None) -> DataFrame:
-    """Top-k per task. ``block`` is (query ids, unit query matrix); ``probes`` maps a cell to the queries that visit it."""
-    spark = index.sparkSession
-    query_ids, queries, query_type = block
-    shared = spark.sparkContext.broadcast((pa.array(query_ids, to_arrow_type(query_type)), queries, probes))
-    dim = queries.shape[1]
+def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int, probes=None) -> DataFrame:
+    """Top-k per task. ``probes`` maps a cell to the queries that visit it; without it every row meets every query."""
+    names = pa.array(block.ids, to_arrow_type(block.id_type))
+    shared = index.sparkSession.sparkContext.broadcast((names, block.vectors, probes))
+    dim = block.vectors.shape[1]
     id_type = index.schema[id_col].dataType
     arrow_id = to_arrow_type(id_type)
     cols = [id_col, vec_col] + ([] if probes is None else ["cell"])
@@ -112,41 +112,67 @@ def _scan(index: DataFrame, id_col: str, vec_col: str, block, k: int, probes=Non
             )
 
     found = index.select(*cols).filter(F.col(vec_col).isNotNull())
-    return found.mapInArrow(run, f"query_id {query_type.simpleString()}, `{id_col}` {id_type.simpleString()}, similarity double")
+    return found.mapInArrow(run, f"query_id {block.id_type.simpleString()}, `{id_col}` {id_type.simpleString()}, similarity double")
 
 
-def query_blocks(queries: DataFrame) -> Iterator[tuple[list, np.ndarray, DataType]]:
-    """Blocks of (ids, unit vectors) of ``queries`` (query_id, query_vector). Zero vectors match nothing and are left out."""
+@dataclass(frozen=True)
+class QueryBlock:
+    """Query vectors of unit length that travel to the tasks together, with their ids."""
+
+    ids: list
+    vectors: np.ndarray
+    id_type: DataType
+
+
+Queries = DataFrame | QueryBlock
+
+
+def _block(rows: list[Row], id_type: DataType) -> QueryBlock:
+    """Zero vectors match nothing and are left out."""
+    width = len(rows[0]["query_vector"]) if rows else 0
+    if any(len(r["query_vector"]) != width for r in rows):
+        raise ValueError("query vectors differ in dimension")
+    vectors, good = unit_rows(np.array([r["query_vector"] for r in rows], dtype=np.float64).reshape(len(rows), width))
+    return QueryBlock([r["query_id"] for r, ok in zip(rows, good) if ok], vectors[good], id_type)
+
+
+def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
+    """``queries`` (query_id, query_vector) in blocks of bounded size, fetched one at a time."""
+    if isinstance(queries, QueryBlock):
+        yield queries
+        return
     queries = queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull())
     id_type = queries.schema["query_id"].dataType
-    width = queries.select(F.max(F.size("query_vector"))).first()[0]
-    if not width:
-        return
-    bound = max(1, min(BLOCK_QUERIES, BLOCK_NUMBERS // width))
 
-    def fetch(part: DataFrame, depth: int) -> Iterator:
-        rows = rows_within(part, bound)
+    def fetch(part: DataFrame, depth: int) -> Iterator[list[Row]]:
+        rows = rows_within(part, BLOCK_QUERIES)
         if rows is not None:
-            if rows:
-                yield rows
+            width = max((len(r["query_vector"]) for r in rows), default=1)
+            step = max(1, BLOCK_NUMBERS // max(1, width))
+            yield from (rows[i : i + step] for i in range(0, len(rows), step))
             return
-        pieces = max(2, -(-part.count() // bound) * 2)
+        pieces = -(-part.count() // BLOCK_QUERIES) * 2
         cut = part.withColumn("_piece", F.pmod(F.xxhash64("query_id", F.lit(depth)), F.lit(pieces)))
         for piece in range(pieces):
             yield from fetch(cut.filter(F.col("_piece") == piece).drop("_piece"), depth + 1)
 
     for rows in fetch(queries, 0):
-        if any(len(r["query_vector"]) != width for r in rows):
-            raise ValueError("query vectors differ in dimension")
-        vectors, good = unit_rows(np.array([r["query_vector"] for r in rows], dtype=np.float64))
-        ids = [r["query_id"] for r, ok in zip(rows, good) if ok]
-        if ids:
-            yield ids, vectors[good], id_type
+        block = _block(rows, id_type)
+        if block.ids:
+            yield block
+
+
+def one_block(queries: DataFrame) -> QueryBlock | None:
+    """All of ``queries`` as one block, or None when they do not fit one."""
+    rows = rows_within(queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull()), BLOCK_QUERIES)
+    if rows is None or sum(len(r["query_vector"]) for r in rows) > BLOCK_NUMBERS:
+        return None
+    return _block(rows, queries.schema["query_id"].dataType)
 
 
-def _no_hits(index: DataFrame, queries: DataFrame, id_col: str) -> DataFrame:
+def _no_hits(index: DataFrame, queries: Queries, id_col: str) -> DataFrame:
     empty = index.select(F.col(id_col)).filter(F.lit(False))
-    qtype = queries.schema["query_id"].dataType
+    qtype = queries.id_type if isinstance(queries, QueryBlock) else queries.schema["query_id"].dataType
     return empty.select(F.lit(None).cast(qtype).alias("query_id"), id_col, F.lit(None).cast("double").alias("similarity"))
 
 
@@ -156,7 +182,7 @@ def _top(parts: list[DataFrame], id_col: str, k: int) -> DataFrame:
     return top_n_per_group(merged, ["query_id"], order, k, rank="rank")
 
 
-def knn(index: DataFrame, queries: DataFrame, k: int, id_col: str = "movie_id", vec_col: str = "embedding_vector") -> DataFrame:
+def knn(index: DataFrame, queries: Queries, k: int, id_col: str = "movie_id", vec_col: str = "embedding_vector") -> DataFrame:
     """Exact (query_id, id, similarity, rank): the k most similar index rows of each query.
 
     Order is similarity (rounded to 6 digits) descending, then id. Rows with a NULL or zero vector are never hits; a
@@ -169,7 +195,7 @@ def knn(index: DataFrame, queries: DataFrame, k: int, id_col: str = "movie_id",
 def knn_cells(
     index: DataFrame,
     centroids: np.ndarray,
-    queries: DataFrame,
+    queries: Queries,
     k: int,
     nprobe: int,
     id_col: str = "movie_id",
@@ -182,13 +208,13 @@ def knn_cells(
     """
     parts = []
     nprobe = min(nprobe, len(centroids))
-    for ids, vectors, qtype in query_blocks(queries):
+    for block in query_blocks(queries):
         # Squared distance to each centroid, up to a constant per query.
-        away = (centroids * centroids).sum(axis=1)[None, :] - 2.0 * (vectors @ centroids.T)
+        away = (centroids * centroids).sum(axis=1)[None, :] - 2.0 * (block.vectors @ centroids.T)
         nearest = np.argpartition(away, nprobe - 1, axis=1)[:, :nprobe]
         visits = {int(c): np.flatnonzero((nearest == c).any(axis=1)) for c in np.unique(nearest)}
         opened = index.filter(F.col("cell").isin([int(c) for c in visits]))
-        parts.append(_scan(opened, id_col, vec_col, (ids, vectors, qtype), k, visits))
+        parts.append(_scan(opened, id_col, vec_col, block, k, visits))
     return _top(parts or [_no_hits(index, queries, id_col)], id_col, k)
 
 

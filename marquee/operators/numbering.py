@@ -7,6 +7,7 @@ aggregate; a prefix sum over the (few) ranges of a group gives each range its of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -14,11 +15,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranges(df: DataFrame, order_col: str, ranges: int) -> list[float]:
-    cuts = df.select(F.col(order_col).cast("double").alias("_o")).approxQuantile(
+MAX_RANGES = 4096
+
+
+def _cuts(df: DataFrame, col: str, ranges: int) -> tuple[list[float], list[float]]:
+    """Range borders of a numeric column, and its heavy values: those that fill a range on their own."""
+    at = df.select(F.col(col).cast("double").alias("_o")).approxQuantile(
         "_o", [i / ranges for i in range(1, ranges)], 0.25 / ranges
     )
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+    heavy = sorted({a for a, b in zip(at, at[1:]) if a == b})
+    borders = set(at) | {math.nextafter(v, math.inf) for v in heavy}
+    return [-math.inf, *sorted(borders), math.inf], heavy
+
+
+def _into_ranges(df: DataFrame, col: str, borders: list[float], out: str) -> DataFrame:
+    if len(borders) == 2:
+        return df.withColumn(out, F.lit(0.0))
+    cast = df.withColumn(f"{out}_in", F.col(col).cast("double"))
+    cut = Bucketizer(splits=borders, inputCol=f"{out}_in", outputCol=out, handleInvalid="keep")
+    return cut.transform(cast)
 
 
 def number_rows(
@@ -28,31 +43,41 @@ def number_rows(
     tie_cols: Sequence[str] = (),
     out: str = "pos",
     ranges: int | None = None,
+    ranges_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row in (its group and) the order of the numeric ``order_col``, then ``tie_cols``."""
+    """Add the 0-based position of each row in (its group and) the order of the numeric ``order_col``, then ``tie_cols``.
+
+    A value of ``order_col`` so frequent that it fills whole ranges gets ranges of its own, cut by the first of
+    ``tie_cols`` (numeric). ``ranges_of`` gives the borders from a cheaper frame with the same columns, such as the input of
+    a join; any borders give the same positions.
+    """
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranges = max(2, min(ranges, 1000))
-    splits = _ranges(df, order_col, ranges)
-    ordered = df.withColumn("_o", F.col(order_col).cast("double"))
-    if len(splits) > 2:
-        cut = Bucketizer(splits=splits, inputCol="_o", outputCol="_range", handleInvalid="keep").transform(ordered)
+    ranges = max(2, min(ranges, MAX_RANGES))
+    sample = df if ranges_of is None else ranges_of
+    borders, heavy = _cuts(sample, order_col, ranges)
+    cut = _into_ranges(df, order_col, borders, "_range")
+    if heavy and tie_cols:
+        tie_borders, _ = _cuts(sample, tie_cols[0], ranges)
+        cut = _into_ranges(cut, tie_cols[0], tie_borders, "_tie")
+        is_heavy = F.col(order_col).cast("double").isin(heavy)
+        cut = cut.withColumn("_sub", F.when(is_heavy, F.col("_tie")).otherwise(F.lit(0.0)))
     else:
-        cut = ordered.withColumn("_range", F.lit(0.0))
+        cut = cut.withColumn("_sub", F.lit(0.0))
     groups = list(group_cols)
-    counts = cut.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    slot = [*groups, "_range", "_sub"]
+    counts = cut.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
     before = (
-        Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_range", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = counts.select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(groups)],
-        F.col("_range").alias("_r"),
+        *[F.col(c).alias(f"_s{i}") for i, c in enumerate(slot)],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
-    same: Column = F.col("_range") == F.col("_r")
-    for i, c in enumerate(groups):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    inside = Window.partitionBy(*groups, "_range").orderBy(order_col, *tie_cols)
+    same: Column = F.lit(True)
+    for i, c in enumerate(slot):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    inside = Window.partitionBy(*slot).orderBy(order_col, *tie_cols)
     return (
         cut.join(offsets, same, "left")
         .withColumn(out, F.row_number().over(inside) - 1 + F.col("_offset"))
@@ -60,8 +85,15 @@ def number_rows(
     )
 
 
-def allocate_ids(new_rows: DataFrame, existing: DataFrame, id_col: str, order_col: str, tie_cols: Sequence[str] = ()) -> DataFrame:
+def allocate_ids(
+    new_rows: DataFrame,
+    existing: DataFrame,
+    id_col: str,
+    order_col: str,
+    tie_cols: Sequence[str] = (),
+    ranges_of: DataFrame | None = None,
+) -> DataFrame:
     """Give ``new_rows`` consecutive ids after the greatest id of ``existing`` (1 when it is empty)."""
     top = existing.select(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).scalar()
-    numbered = number_rows(new_rows.drop(id_col), order_col, tie_cols=tie_cols, out="_pos")
+    numbered = number_rows(new_rows.drop(id_col), order_col, tie_cols=tie_cols, out="_pos", ranges_of=ranges_of)
     return numbered.withColumn(id_col, (F.col("_pos") + 1 + top).cast("bigint")).drop("_pos")

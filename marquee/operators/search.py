@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from marquee import constants as K
 from marquee.functions.columns import genres_text, has_genre, runtime_within, snippet, summary_snippet, title_like
 from marquee.operators.dedup import top_n_per_group
-from marquee.operators.knn import knn
+from marquee.operators.knn import QueryBlock, knn, one_block
 
 # Title requests sent to every task at once.
 BLOCK_REQUESTS = 10_000
+# Hits broadcast at most: some 30 MB of (query, id, similarity).
+BROADCAST_HITS = 1_000_000
 
 
 def _best_first(*cols: str) -> list[Column]:
@@ -61,10 +63,20 @@ def title_matches(movies: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     further passes.
     """
     hits = []
+    # Lower-cased once per title and once per request, not once per pair.
+    lowered = movies.withColumn("_title", F.lower("title")).withColumn("_original", F.lower("original_title"))
     for block in _request_blocks(requests.select("request_id", "needle")):
-        match = title_like(F.col("needle"), F.col("title"), F.col("original_title"))
-        pairs = movies.join(F.broadcast(block), match)
-        hits.append(top_n_per_group(pairs, ["request_id"], _best_first("vote_average"), k, rank="rank"))
+        asked = block.withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit(r"[%_\\]")))
+        pattern = F.concat(F.lit("%"), "_needle", F.lit("%"))
+
+        def hit(title: str) -> Column:
+            # A needle without wildcards is a plain substring; LIKE would compile a pattern per pair.
+            wild = F.call_function("like", F.col(title), pattern)
+            return F.coalesce(F.when(F.col("_wild"), wild).otherwise(F.contains(F.col(title), F.col("_needle"))), F.lit(False))
+
+        pairs = lowered.join(F.broadcast(asked), hit("_title") | hit("_original"))
+        best = top_n_per_group(pairs, ["request_id"], _best_first("vote_average"), k, rank="rank")
+        hits.append(best.drop("_title", "_original", "_needle", "_wild"))
     return reduce(DataFrame.unionByName, hits)
 
 
@@ -95,6 +107,11 @@ def _candidate_count(limit: int, filtered: bool) -> int:
     return (K.FILTERED_CANDIDATES if filtered else limit) * K.OVERFETCH
 
 
+def _small(hits: DataFrame, block: QueryBlock | None, k: int) -> DataFrame:
+    """Mark hits for broadcast when queries times ``k`` proves them few, so that the catalogue is not shuffled to meet them."""
+    return F.broadcast(hits) if block is not None and len(block.ids) * k <= BROADCAST_HITS else hits
+
+
 def semantic_search(
     index: DataFrame,
     movies: DataFrame,
@@ -111,13 +128,16 @@ def semantic_search(
     filters the catalogue first and always fills ``limit`` when enough rows match. ``find`` is the vector top-k to use.
     """
     attributes = movies.select("movie_id", "title", "vote_average", "runtime", "year", "genres", "overview")
+    block = one_block(queries)
+    queries = block or queries
     if mode == "prefilter":
         allowed = attributes.filter(_keep(max_runtime, genre))
         hits = find(index.join(allowed.select("movie_id"), "movie_id", "left_semi"), queries, limit)
-        ranked = hits.join(allowed, "movie_id")
+        ranked = allowed.join(_small(hits, block, limit), "movie_id")
     elif mode == "postfilter":
-        hits = find(index, queries, _candidate_count(limit, bool(max_runtime or genre))).drop("rank")
-        kept = hits.join(attributes, "movie_id").filter(_keep(max_runtime, genre))
+        n = _candidate_count(limit, bool(max_runtime or genre))
+        hits = find(index, queries, n).drop("rank")
+        kept = attributes.filter(_keep(max_runtime, genre)).join(_small(hits, block, n), "movie_id")
         order = [F.col("similarity").desc(), F.col("movie_id").asc()]
         ranked = top_n_per_group(kept, ["query_id"], order, limit, rank="rank")
     else:
@@ -153,8 +173,10 @@ def recommend_for_groups(
     ``group_queries`` (group_id, query_id) says which of the shared ``queries`` speaks for a group, so one vector pass
     serves all groups.
     """
-    hits = find(index, queries, candidates).drop("rank").join(movies.select("movie_id", "title"), "movie_id")
-    offered = group_queries.join(hits, "query_id")
+    block = one_block(queries)
+    hits = find(index, block or queries, candidates).drop("rank")
+    titled = movies.select("movie_id", "title").join(_small(hits, block, candidates), "movie_id")
+    offered = group_queries.join(_small(titled, block, candidates), "query_id")
     unseen = exclude_seen(offered, watchlist, recommendations)
     order = [F.col("similarity").desc(), F.col("movie_id").asc()]
     return top_n_per_group(unseen, ["group_id"], order, picks, rank="rank")

@@ -89,7 +89,7 @@ SELECT doc_id, string_agg(v, ',' ORDER BY place) AS digits FROM digits GROUP BY
 @query("embed_documents", f"WITH {_EMBEDDED}")
 def embed_documents(spark, sf):
     docs = V.load(spark, sf, "documents").select("doc_id", "text")
-    vectors = embed.embed_documents(docs, "doc_id", "text", embed.hashed_tokens(_DIM), batch=256)
+    vectors = embed.embed_documents(docs, "text", embed.hashed_tokens(_DIM), batch=1024)
     digits = F.transform("embedding_vector", lambda x: F.floor(x.cast("double") * 1000 + 0.5).cast("string"))
     return vectors.select("doc_id", F.array_join(digits, ",").alias("digits"))
 
@@ -124,7 +124,7 @@ def document_texts(spark, sf):
 @query("incremental_embed", _INCREMENT)
 def incremental_embed(spark, sf):
     new = embed.incremental_embed(
-        document_texts(spark, sf), embedding_table(spark, sf), embed.hashed_tokens(_DIM), "hashed", batch=256
+        document_texts(spark, sf), embedding_table(spark, sf), embed.hashed_tokens(_DIM), "hashed", batch=1024
     )
     known = V.load(spark, sf, "labels").select(F.col("doc_id").alias("movie_id"), F.lit(1).alias("known")).distinct()
     reason = (
@@ -145,7 +145,7 @@ def incremental_embed(spark, sf):
 )
 def refresh_embeddings(spark, sf):
     table = embed.refresh_embeddings(
-        document_texts(spark, sf), embedding_table(spark, sf), embed.hashed_tokens(_DIM), "hashed", V.as_of()
+        document_texts(spark, sf), embedding_table(spark, sf), embed.hashed_tokens(_DIM), "hashed", V.as_of(), batch=1024
     )
     stamped = F.when(F.col("embedded_at") == V.as_of(), F.lit("new")).otherwise(F.lit("kept"))
     return table.select("movie_id", "title", stamped.alias("stamped"), F.size("embedding_vector").alias("dim"))

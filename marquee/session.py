@@ -39,3 +39,10 @@ def rows_within(df: DataFrame, bound: int) -> list[Row] | None:
     """The rows of ``df`` when there are at most ``bound`` of them, else None. Never fetches more than ``bound + 1``."""
     rows = df.limit(bound + 1).collect()
     return rows if len(rows) <= bound else None
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back: for costly rows that a later plan reads several times."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
