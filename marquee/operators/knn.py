@@ -177,9 +177,16 @@ def _no_hits(index: DataFrame, queries: Queries, id_col: str) -> DataFrame:
 
 
 def _top(parts: list[DataFrame], id_col: str, k: int) -> DataFrame:
+    """Top-k of the tasks' rows, in two steps: k rows per (query, share of the ids) first, then k per query.
+
+    Every scan task sends up to k rows per query; with one step a large scan would send all of them to one task.
+    """
     merged = reduce(DataFrame.unionByName, parts)
     order = [F.col("similarity").desc(), F.col(id_col).asc()]
-    return top_n_per_group(merged, ["query_id"], order, k, rank="rank")
+    shares = int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    shared = merged.withColumn("_share", F.pmod(F.xxhash64(id_col), F.lit(shares)))
+    some = top_n_per_group(shared, ["query_id", "_share"], order, k).drop("_share")
+    return top_n_per_group(some, ["query_id"], order, k, rank="rank")
 
 
 def knn(index: DataFrame, queries: Queries, k: int, id_col: str = "movie_id", vec_col: str = "embedding_vector") -> DataFrame:

@@ -8,18 +8,19 @@ from marquee.operators import merge
 from marquee.operators.numbering import allocate_ids
 from marquee.plans import views as V
 from marquee.plans.registry import query, with_views
+from marquee.session import scratch_dir
 
 _SOURCE = "CASE WHEN p_size > 30 THEN NULL ELSE p_name END"
 
 
-@query(
-    "merge_movies",
-    f"""SELECT p_partkey AS movie_id, CASE WHEN p_brand <> 'Brand#7' THEN coalesce({_SOURCE}, 'gone') ELSE 'old' END AS title,
-        CASE WHEN p_brand <> 'Brand#7' THEN p_retailprice ELSE 0 END AS vote_average,
-        CASE WHEN p_brand <> 'Brand#7' THEN 'new' ELSE 'kept' END AS stamped
-        FROM part WHERE p_type <> 'PROMO' OR p_brand <> 'Brand#7'""",
-)
-def merge_movies(spark, sf):
+_MERGED_MOVIES = f"""SELECT p_partkey AS movie_id,
+  CASE WHEN p_brand <> 'Brand#7' THEN coalesce({_SOURCE}, 'gone') ELSE 'old' END AS title,
+  CASE WHEN p_brand <> 'Brand#7' THEN p_retailprice ELSE 0 END AS vote_average,
+  CASE WHEN p_brand <> 'Brand#7' THEN 'new' ELSE 'kept' END AS stamped
+  FROM part WHERE p_type <> 'PROMO' OR p_brand <> 'Brand#7'"""
+
+
+def _movie_versions(spark, sf):
     """Target lacks one part type, source lacks one brand; the source's NULL titles overwrite."""
     part = V.load(spark, sf, "part")
     target = part.filter("p_type <> 'PROMO'").select(
@@ -33,11 +34,29 @@ def merge_movies(spark, sf):
         F.when(F.col("p_size") <= 30, F.col("p_name")).alias("title"),
         F.col("p_retailprice").alias("vote_average"),
     )
-    merged = merge.merge_movies(target, source, V.as_of())
+    return target, source
+
+
+def _merged_movies(merged):
     stamped = F.when(F.col("updated_at") == V.as_of(), F.lit("new")).otherwise(F.lit("kept"))
     return merged.select("movie_id", F.coalesce("title", F.lit("gone")).alias("title"), "vote_average", stamped.alias("stamped"))
 
 
+@query("merge_movies", _MERGED_MOVIES)
+def merge_movies(spark, sf):
+    target, source = _movie_versions(spark, sf)
+    return _merged_movies(merge.merge_movies(target, source, V.as_of()))
+
+
+@query("merge_movies_bucketed", _MERGED_MOVIES)
+def merge_movies_bucketed(spark, sf):
+    target, source = _movie_versions(spark, sf)
+    path = scratch_dir(spark, "movies")
+    merge.write_buckets(target, path, ["movie_id"], 16)
+    merge.merge_into_buckets(spark, path, source, ["movie_id"], 16, stamp={"updated_at": V.as_of()})
+    return _merged_movies(spark.read.parquet(path))
+
+
 @query(
     "merge_embeddings",
     """SELECT vec_id AS movie_id, round(CAST(CASE WHEN label <> 4 THEN embedding[1] ELSE 0 END AS DOUBLE), 5) AS first,

@@ -37,7 +37,7 @@ SILVER = {
 VECTOR = {
     "movie_embeddings": (
         "movie_id bigint, title string, overview string, embedding_vector array<float>, embedding_model string, "
-        "embedded_at timestamp"
+        "embedded_at timestamp, text_hash string"
     ),
 }
 
