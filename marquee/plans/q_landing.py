@@ -294,6 +294,6 @@ def stream_land_dedup(spark, sf):
     events = V.load(spark, sf, "events").withColumn("fetched_at", F.col("ts").cast("timestamp")).drop("ts")
     again = events.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 HOUR"))
     events.union(again).write.parquet(source)
-    stream = read_stream(spark, source, events.schema, files_per_batch=4)
+    stream = read_stream(spark, source, events.schema, files_per_batch=1)
     land_stream(stream, ["event_id"], target, state).awaitTermination()
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value", "props")

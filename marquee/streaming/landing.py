@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marquee import constants as K
 from marquee.operators.dedup import dedup_first
@@ -31,7 +31,7 @@ def land_stream(docs: DataFrame, key: list[str], target: str, checkpoint: str, h
         first = dedup_first(batch, key, ["fetched_at"])
         if batch_id > 0:
             landed = (
-                spark.read.schema(batch.schema.add("batch_id", "bigint"))
+                spark.read.schema(StructType([*batch.schema.fields, StructField("batch_id", LongType())]))
                 .parquet(target)
                 .filter(F.col("batch_id") < batch_id)
                 .select(*key, F.col("fetched_at").alias("_landed"))
