@@ -71,7 +71,9 @@ def ann_index_sync(spark, sf):
     before = older.unionByName(extra)
     path = scratch_dir(spark, "index")
     model = ann.build_index(before, path, _DIM, cells=16)
-    ann.sync_index(spark, path, change_feed(before, after, ["movie_id"]), model, _DIM, "movie_id")
+    feed = change_feed(before, after, ["movie_id"])
+    fresh = feed.filter("change IN ('insert', 'update_postimage')").drop("change")
+    ann.sync_index(spark, path, feed, fresh, model, _DIM, "movie_id")
     first = F.floor(F.element_at("embedding_vector", 1).cast("double") * 1000 + 0.5)
     return spark.read.parquet(path).select("movie_id", "label", first.alias("first"))
 

@@ -156,7 +156,7 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
 CAST = f"""credits AS (
   SELECT doc_id, {SOURCE_ID} AS movie_id, lang, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id)),
 cast_rows AS (
-  SELECT doc_id AS seq, doc_id AS person_id, movie_id, 'p' || doc_id AS name, lang AS "character", n_chars AS credit_order FROM credits
+  SELECT doc_id AS seq, doc_id AS person_id, movie_id, 'p' || doc_id AS name, lang AS "character", CAST(n_chars AS INTEGER) AS credit_order FROM credits
   UNION ALL
   SELECT doc_id, -1 - quality, movie_id, lang, 'shared', toxic FROM credits),
 cast_t AS (
@@ -175,7 +175,7 @@ def raw_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEYWORDS = f"""keywords_t AS (
-  SELECT DISTINCT {SOURCE_ID} AS movie_id, ascii(lang) * 256 + ascii(substr(lang, 2, 1)) AS keyword_id, lang AS keyword
+  SELECT DISTINCT {SOURCE_ID} AS movie_id, CAST(ascii(lang) * 256 + ascii(substr(lang, 2, 1)) AS BIGINT) AS keyword_id, lang AS keyword
   FROM documents)"""
 
 

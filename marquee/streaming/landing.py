@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from marquee import constants as K
 from marquee.operators.dedup import dedup_first
@@ -23,25 +23,28 @@ def land_stream(docs: DataFrame, key: list[str], target: str, checkpoint: str, h
 
     ``docs`` carries ``fetched_at``. Every micro-batch writes its own ``batch_id`` folder in overwrite mode, so a batch that
     is repeated after a failure lands the same rows once. What is fresh is looked up in the folders of earlier batches, so
-    nothing depends on how late a document comes and no streaming state is kept.
+    nothing depends on how late a document comes and no streaming state is kept. The folders are split by day and only the
+    days the batch's window reaches are read.
     """
+    window = F.make_dt_interval(hours=F.lit(hours))
+    day = F.to_date("fetched_at")
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         first = dedup_first(batch, key, ["fetched_at"])
-        if batch_id > 0:
+        oldest = batch.agg(F.to_date(F.min("fetched_at") - window).alias("day")).first()["day"] if batch_id > 0 else None
+        if oldest is not None:
+            layout = [*batch.schema.fields, StructField("batch_id", LongType()), StructField("day", DateType())]
             landed = (
-                spark.read.schema(StructType([*batch.schema.fields, StructField("batch_id", LongType())]))
+                batch.sparkSession.read.schema(StructType(layout))
                 .parquet(target)
-                .filter(F.col("batch_id") < batch_id)
+                .filter((F.col("batch_id") < batch_id) & (F.col("day") >= F.lit(oldest)))
                 .select(*key, F.col("fetched_at").alias("_landed"))
             )
-            window = F.make_dt_interval(hours=F.lit(hours))
             recent = first.select(*key, "fetched_at").join(landed, key).filter(
                 F.col("_landed") >= F.col("fetched_at") - window
             )
             first = first.join(recent.select(*key).distinct(), key, "left_anti").select(*batch.columns)
-        first.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        first.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{target}/batch_id={batch_id}")
 
     return (
         docs.writeStream.foreachBatch(land)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 import traceback
@@ -12,6 +13,8 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+VERBOSE = bool(os.environ.get("CHECK_TYPES"))
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -41,7 +44,13 @@ def compare(spark, con, name, query, sql, sf_dir):
     if sql is None:
         return None if got else "no rows"
     cur = con.execute(sql)
+    sql_types = {d[0]: str(d[1]).lower() for d in cur.description}
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
+    names = {"varchar": "string", "integer": "int"}
+    types = {n: (t, names.get(sql_types[n], sql_types[n])) for n, t in df.dtypes if n in sql_types}
+    odd = {n: t for n, t in types.items() if t[0] != t[1]}
+    if odd and VERBOSE:
+        print("     types", name, odd)
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
     if len(got) != len(want):
@@ -54,15 +63,15 @@ def compare(spark, con, name, query, sql, sf_dir):
 
 
 def main() -> None:
+    from pyspark.sql import SparkSession
+
     from __spark_entry__ import oracle_sql, queries
     from marquee.session import builder
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(queries())
-    spark = (
-        builder("check").master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").getOrCreate()
-    )
+    plain = SparkSession.builder if os.environ.get("CHECK_PLAIN") else builder("check").config("spark.sql.shuffle.partitions", "8")
+    spark = plain.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0

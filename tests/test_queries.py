@@ -22,3 +22,20 @@ def test_query_agrees_with_sql(spark, name):
 
 def test_entry_has_rows(spark):
     assert entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ["scan_project", "knn_exact", "semantic_search", "recommend_for_groups", "upsert_ratings", "group_history"])
+def test_plans_have_no_cross_product(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scan_reads_only_what_it_needs(spark):
+    plan = queries()["scan_project"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(p_size), GreaterThan(p_size,10)]" in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in plan
+
+
+def test_search_does_not_shuffle_the_catalogue(spark):
+    plan = queries()["semantic_search"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(movie_id" not in plan

@@ -99,7 +99,7 @@ def test_index_sync_follows_inserts_updates_and_deletes_and_may_be_repeated(spar
     model = ann.build_index(before, path, 4, cells=6)
     feed = change_feed(before, after, ["movie_id"])
     for _ in range(2):
-        ann.sync_index(spark, path, feed, model, 4, "movie_id")
+        ann.sync_index(spark, path, feed, after.join(feed, "movie_id", "left_semi"), model, 4, "movie_id")
         index = spark.read.parquet(path)
         assert sorted(r["movie_id"] for r in index.select("movie_id").collect()) == list(range(10, 60))
         queries = asked(spark, changed[:3])
