@@ -15,7 +15,7 @@ def safe_date(text: Column) -> Column:
 
 def names_of(structs: Column, field: str = "name") -> Column:
     """Array of one field out of an array of structs. NULL arrays become empty; NULL names stay."""
-    return F.coalesce(F.transform(structs, lambda s: s[field]), F.array().cast("array<string>"))
+    return F.coalesce(structs[field], F.array().cast("array<string>"))
 
 
 def non_empty(text: Column) -> Column:

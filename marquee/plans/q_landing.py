@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import row_json
+from marquee.operators import silver
 from marquee.operators.dedup import dedup_first, dedup_latest
 from marquee.plans import views as V
 from marquee.plans.registry import query, with_views
@@ -134,8 +135,7 @@ def reviews_top5(spark, sf):
     "SELECT p_partkey AS movie_id, p_name AS title, p_size AS runtime FROM part UNION ALL SELECT c_custkey, c_name, NULL FROM customer",
 )
 def sink_overwrite_roundtrip(spark, sf):
-    ns = tables.Namespace("marquee_sinks", scratch_dir(spark, "tables"))
-    spark.sql(f"DROP TABLE IF EXISTS {ns.table('movies')}") if spark.catalog.databaseExists(ns.name) else None
+    ns = tables.Namespace.fresh(spark, "sinks")
     ns.create(spark, ["movies"])
     stale = V.load(spark, sf, "supplier").select(F.col("s_suppkey").alias("movie_id"), F.col("s_name").alias("title"))
     parts = V.load(spark, sf, "part").select(
@@ -200,9 +200,7 @@ def seed_group(spark, sf):
        UNION ALL SELECT 'broken', 0, 'failure'""",
 )
 def run_log_counts(spark, sf):
-    ns = tables.Namespace("marquee_log", scratch_dir(spark, "tables"))
-    for table in ("watchlist_items", "movies", "pipeline_log"):
-        spark.sql(f"DROP TABLE IF EXISTS {ns.table(table)}") if spark.catalog.databaseExists(ns.name) else None
+    ns = tables.Namespace.fresh(spark, "log")
     ns.create(spark, ["watchlist_items", "movies", "pipeline_log"])
     tables.logged_step(ns, spark, "watchlist", lambda: tables.append(V.watchlist(spark, sf), ns, "watchlist_items"))
     tables.logged_step(ns, spark, "movies", lambda: tables.replace(V.movies(spark, sf), ns, "movies"))
@@ -248,10 +246,7 @@ _LOADED = ("genres", "group_members", "groups", "movie_embeddings", "movies", "r
 )
 def ddl_catalog(spark, sf):
     """Create all twenty tables, load the nine the test tables can fill, and count them through the catalogue."""
-    from marquee.operators import silver
-
-    ns = tables.Namespace("marquee_catalog", scratch_dir(spark, "tables"))
-    spark.sql(f"DROP SCHEMA IF EXISTS `{ns.name}` CASCADE")
+    ns = tables.Namespace.fresh(spark, "catalog")
     ns.create(spark)
     ns.create(spark)
     frames = {
