@@ -94,9 +94,17 @@ def summarise(rows: DataFrame) -> DataFrame:
     return rows.withColumn("overview_snippet", summary_snippet(F.col("overview"))).drop("overview")
 
 
-def enrich(hits: DataFrame, movies: DataFrame) -> DataFrame:
-    """Hits with catalogue attributes; a hit without a catalogue row stays, its attributes NULL."""
-    return hits.join(movies.select("movie_id", "vote_average", "runtime", "genres"), "movie_id", "left")
+def enrich(hits: DataFrame, movies: DataFrame, few: bool = False) -> DataFrame:
+    """Hits with catalogue attributes; a hit without a catalogue row stays, its attributes NULL.
+
+    With ``few`` the hits are known to be few (``few_hits``): the catalogue is first reduced to them where it lies, which
+    spares its shuffle. The plan names the hits twice and computes them once, by exchange reuse.
+    """
+    attributes = movies.select("movie_id", "vote_average", "runtime", "genres")
+    if few:
+        wanted = F.broadcast(hits.select("movie_id").distinct())
+        attributes = F.broadcast(attributes.join(wanted, "movie_id", "left_semi"))
+    return hits.join(attributes, "movie_id", "left")
 
 
 def _keep(max_runtime: int, genre: str) -> Column:
@@ -107,9 +115,14 @@ def _candidate_count(limit: int, filtered: bool) -> int:
     return (K.FILTERED_CANDIDATES if filtered else limit) * K.OVERFETCH
 
 
+def few_hits(block: QueryBlock | None, k: int) -> bool:
+    """Whether queries times ``k`` proves the hits few enough to broadcast."""
+    return block is not None and len(block.ids) * k <= BROADCAST_HITS
+
+
 def _small(hits: DataFrame, block: QueryBlock | None, k: int) -> DataFrame:
-    """Mark hits for broadcast when queries times ``k`` proves them few, so that the catalogue is not shuffled to meet them."""
-    return F.broadcast(hits) if block is not None and len(block.ids) * k <= BROADCAST_HITS else hits
+    """Mark few hits for broadcast, so that the catalogue is not shuffled to meet them."""
+    return F.broadcast(hits) if few_hits(block, k) else hits
 
 
 def semantic_search(
@@ -146,7 +159,8 @@ def semantic_search(
 
 
 def browse_semantic(index: DataFrame, movies: DataFrame, queries: DataFrame, limit: int = K.BROWSE_SEMANTIC_LIMIT, find=knn) -> DataFrame:
-    hits = enrich(find(index, queries, limit), movies)
+    block = one_block(queries)
+    hits = enrich(find(index, block or queries, limit), movies, few_hits(block, limit))
     return hits.withColumn("genres_text", genres_text(F.col("genres"))).drop("genres")
 
 

@@ -107,8 +107,9 @@ def knn_recall(spark, sf):
     ),
 )
 def search_enrich(spark, sf):
-    hits = knn.knn(V.vectors(spark, sf), V.label_queries(spark, sf), 50)
-    return search.enrich(hits, V.movies(spark, sf)).select(
+    block = knn.one_block(V.label_queries(spark, sf))
+    hits = knn.knn(V.vectors(spark, sf), block, 50)
+    return search.enrich(hits, V.movies(spark, sf), search.few_hits(block, 50)).select(
         "query_id",
         "movie_id",
         "similarity",

@@ -36,6 +36,14 @@ def test_scan_reads_only_what_it_needs(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in plan
 
 
-def test_search_does_not_shuffle_the_catalogue(spark):
-    plan = queries()["semantic_search"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", ["semantic_search", "semantic_search_unfiltered"])
+def test_search_does_not_shuffle_the_catalogue(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning(movie_id" not in plan
+
+
+def test_enriching_scans_the_vectors_once(spark):
+    df = queries()["browse_semantic"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and "SortMergeJoin" not in plan
