@@ -47,9 +47,9 @@ def number_rows(
 ) -> DataFrame:
     """Add the 0-based position of each row in (its group and) the order of the numeric ``order_col``, then ``tie_cols``.
 
-    NULL comes first, as in any ascending order of Spark. A value of ``order_col`` so frequent that it fills whole ranges gets ranges of its own, cut by the first of
-    ``tie_cols`` (numeric). ``ranges_of`` gives the borders from a cheaper frame with the same columns, such as the input of
-    a join; any borders give the same positions.
+    NULL comes first, as in any ascending order of Spark. A value of ``order_col`` so frequent that it fills whole ranges
+    gets ranges of its own, cut by the first of ``tie_cols`` (numeric). ``ranges_of`` gives the borders from a cheaper frame
+    with the same columns, such as the input of a join; any borders give the same positions.
     """
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

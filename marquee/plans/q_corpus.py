@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from marquee.operators import corpus, embed, silver
 from marquee.operators.dedup import top_n_per_group
-from marquee.operators.merge import merge_upsert
 from marquee.plans import views as V
 from marquee.plans.registry import query, with_views
 

@@ -205,7 +205,8 @@ def groups_members(spark, sf):
         """SELECT c_custkey AS group_id, coalesce(queued, 0) AS queued, coalesce(watched, 0) AS watched, coalesce(avg_score, -1) AS avg_score
            FROM customer LEFT JOIN (SELECT group_id, count(*) FILTER (status = 'queued') AS queued,
              count(*) FILTER (status = 'watched') AS watched FROM watchlist GROUP BY 1) w ON c_custkey = w.group_id
-           LEFT JOIN (SELECT group_id, ((sum(score) * 20 + count(*)) // (2 * count(*)))::BIGINT / 10.0::DOUBLE AS avg_score FROM ratings GROUP BY 1) r ON c_custkey = r.group_id""",
+           LEFT JOIN (SELECT group_id,
+             ((sum(score) * 20 + count(*)) // (2 * count(*)))::BIGINT / 10.0::DOUBLE AS avg_score FROM ratings GROUP BY 1) r ON c_custkey = r.group_id""",
         V.WATCHLIST,
         V.RATINGS,
     ),

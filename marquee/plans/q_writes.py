@@ -91,7 +91,7 @@ def _rating_requests(spark, sf):
     return events.select(
         F.col("event_id").alias("request_id"),
         F.col("user_id").alias("group_id"),
-        V._movie_ref(spark, sf, "event_id"),
+        V.movie_ref(spark, sf, "event_id"),
         (F.col("value") / 5).cast("int").alias("score"),
         F.col("event_type").alias("comment"),
     )

@@ -259,7 +259,7 @@ COMPOSITE_VIEWS = (CORPUS_MOVIES, KEYWORDS, CAST, REVIEWS, CHILDREN)
 # Groups and their facts ----------------------------------------------------------------------------------------------
 
 
-def _movie_ref(spark: SparkSession, sf_dir: str, key: str) -> Column:
+def movie_ref(spark: SparkSession, sf_dir: str, key: str) -> Column:
     """A catalogue id for a fact; a few point past the end of the catalogue."""
     n = load(spark, sf_dir, "part").select(F.count(F.lit(1)).alias("n")).scalar()
     return (F.col(key) % (n + 50)).alias("movie_id")
@@ -269,7 +269,7 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("item_id"),
         F.col("o_custkey").alias("group_id"),
-        _movie_ref(spark, sf_dir, "o_orderkey"),
+        movie_ref(spark, sf_dir, "o_orderkey"),
         F.when(F.col("o_orderstatus") == "F", F.lit("watched")).otherwise(F.lit("queued")).alias("status"),
         F.lit(1).alias("added_by"),
         F.col("o_orderdate").alias("added_at"),
@@ -286,7 +286,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("rating_id"),
         F.col("o_custkey").alias("group_id"),
-        _movie_ref(spark, sf_dir, "o_orderkey"),
+        movie_ref(spark, sf_dir, "o_orderkey"),
         F.lit(None).cast("int").alias("user_id"),
         F.greatest(F.lit(1), F.least(F.lit(10), F.floor(F.col("o_totalprice") / 50000))).cast("int").alias("score"),
         F.col("o_orderpriority").alias("comment"),
@@ -306,7 +306,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bought.select(
         F.col("event_id").alias("rec_id"),
         F.col("user_id").alias("group_id"),
-        _movie_ref(spark, sf_dir, "event_id"),
+        movie_ref(spark, sf_dir, "event_id"),
         F.col("props").alias("reason"),
         F.col("ts").alias("recommended_at"),
     )

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import chatlog, corpus, embed, history
-from marquee.streaming.landing import land_stream, read_stream
+from marquee.streaming.landing import dedup_within_window, land_stream, read_stream
 
 MOVIES = "movie_id bigint, title string, overview string, tagline string"
 
@@ -129,8 +129,13 @@ def test_members_of_a_large_group_continue_in_further_rows(spark):
 
 
 def test_history_keeps_facts_without_a_movie(spark):
-    movies = spark.createDataFrame([(1, "t", 5.0, 90, ["x"])], "movie_id bigint, title string, vote_average double, runtime int, genres array<string>")
-    items = spark.createDataFrame([(1, 7, 1, "queued", 1, None), (2, 7, 2, "watched", 1, None)], "item_id bigint, group_id int, movie_id bigint, status string, added_by int, added_at timestamp")
+    movies = spark.createDataFrame(
+        [(1, "t", 5.0, 90, ["x"])], "movie_id bigint, title string, vote_average double, runtime int, genres array<string>"
+    )
+    items = spark.createDataFrame(
+        [(1, 7, 1, "queued", 1, None), (2, 7, 2, "watched", 1, None)],
+        "item_id bigint, group_id int, movie_id bigint, status string, added_by int, added_at timestamp",
+    )
     rated = spark.createDataFrame([], "rating_id bigint, group_id int, movie_id bigint, score int, comment string, rated_at timestamp")
     recs = spark.createDataFrame([], "rec_id bigint, group_id int, movie_id bigint, reason string, recommended_at timestamp")
     got = [(r["title"], r["genres"]) for r in history.watchlist(items, movies, 7).collect()]
@@ -160,3 +165,15 @@ def test_stream_lands_once_per_window_over_many_batches(spark, tmp_path):
     arrive((1, "c", "2024-01-01 23:00:00"), (2, "d", "2024-01-02 00:00:01"), (3, "late", "2023-01-01 00:00:00"))
     assert run() == [(1, "a"), (2, "a"), (2, "d"), (3, "late")]
     assert run() == [(1, "a"), (2, "a"), (2, "d"), (3, "late")]
+
+
+def test_in_stream_dedup_keeps_one_per_key_within_the_window(spark, tmp_path):
+    source, target, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    events = spark.range(100).select(
+        (F.col("id") % 40).alias("id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("fetched_at")
+    )
+    events.repartition(3).write.parquet(source)
+    stream = dedup_within_window(read_stream(spark, source, events.schema, files_per_batch=1), ["id"])
+    query = stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(40))
