@@ -56,7 +56,7 @@ def shingles(h: np.ndarray, k: int) -> np.ndarray:
     if k == 0:
         return np.empty(0, np.uint64)
     n = len(h) - k + 1
-    out = np.full(n, np.uint64(k) * MIX)
+    out = np.full(n, 0x9E3779B97F4A7C15 ^ k, np.uint64)
     for i in range(k):
         out = (out ^ mixed(h[i : i + n] + np.uint64(i))) * ODD[i % len(ODD)]
         out ^= out >> np.uint64(32)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, mixing, warc
+from marquee.llm import chat, jaccard, mixing, warc
 from marquee.llm.common import table
 
 
@@ -20,7 +20,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mix_sources, op7_chat_format, op8_warc)}
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_mix_sources, op7_chat_format, op8_warc, op9_ngram_jaccard)}
 
 ORACLES = {
     "op7_chat_format": """
