@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, jaccard, mixing, warc
+from marquee.llm import chat, jaccard, lempel_ziv, mixing, quality, warc
 from marquee.llm.common import table
 
 
+def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel_ziv.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
@@ -24,7 +32,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mix_sources, op7_chat_format, op8_warc, op9_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op3_lz_fingerprint, op4_mix_sources, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard)}
 
 ORACLES = {
     "op7_chat_format": """
