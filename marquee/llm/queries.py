@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, jaccard, lempel_ziv, mixing, quality, warc
+from marquee.llm import chat, decontaminate, jaccard, lempel_ziv, licences, mixing, quality, warc
 from marquee.llm.common import table
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,11 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_lz_fingerprint, op4_mix_sources, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_licences, op3_lz_fingerprint, op4_mix_sources, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
 
 ORACLES = {
     "op7_chat_format": """
