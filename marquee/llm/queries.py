@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, decontaminate, jaccard, lempel_ziv, licences, mixing, quality, warc
+from marquee.llm import chat, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, quality, warc
 from marquee.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +44,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op3_lz_fingerprint, op4_mix_sources, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_licences, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
 
 ORACLES = {
     "op7_chat_format": """
