@@ -157,8 +157,8 @@ def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndar
     return dealt.groupBy("bucket").applyInArrow(add_up, "block long, names binary, counts binary")
 
 
-def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndarray]], fn: Callable[[pa.Table, np.ndarray, np.ndarray], dict | None], schema: str) -> DataFrame:
-    """``fn(rows, names, counts)`` for each block, with the sorted names and counts of its keys that are seen again; rows of ``schema``.
+def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndarray]], fn: Callable[[int, pa.Table, np.ndarray, np.ndarray], dict | None], schema: str) -> DataFrame:
+    """``fn(block, rows, names, counts)`` for each block, with the sorted names and counts of its keys that are seen again; rows of ``schema``.
 
     ``fn`` looks its keys up by ``named(keys, n)`` with the ``n`` that ``buckets(blocks)`` gives.
     """
@@ -177,11 +177,11 @@ def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.nda
                 names = np.concatenate([np.frombuffer(p["names"], "<u8") for p in got]) if got else np.empty(0, np.uint64)
                 counts = np.concatenate([np.frombuffer(p["counts"], "<u4") for p in got]) if got else np.empty(0, np.uint32)
                 order = np.argsort(names)
-                out = fn(rows_of(batch.column(0)[i].as_py()), names[order], counts[order])
+                out = fn(batch.column(2)[i].as_py(), rows_of(batch.column(0)[i].as_py()), names[order], counts[order])
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([as_array(out[f.name], f.type) for f in target], schema=target)
 
-    return blocks.join(pieces, "block", "left").select("data", "pieces").mapInArrow(run, schema)
+    return blocks.join(pieces, "block", "left").select("data", "pieces", "block").mapInArrow(run, schema)
 
 
 def buckets(blocks: DataFrame) -> int:

@@ -64,7 +64,7 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 seen.add(sid)
                 yield tokens
 
-    def look_up(rows: pa.Table, names: np.ndarray, counts: np.ndarray) -> dict:
+    def look_up(block: int, rows: pa.Table, names: np.ndarray, counts: np.ndarray) -> dict:
         sets = _sets(rows, k, WordHashes())
         out: dict = {"doc_id": rows.column("doc_id"), "n": [len(s) for s in sets], "sid": [], "prefix": [], "tokens": []}
         sids = [_signature(s) if len(s) else None for s in sets]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, quality, warc
+from marquee.llm import chat, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, quality, warc
 from marquee.llm.common import table
 
 
@@ -12,6 +12,11 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "repeats_of", "text")
+
+
 def op3_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -44,7 +49,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
 
 ORACLES = {
     "op7_chat_format": """
