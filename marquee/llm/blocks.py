@@ -20,20 +20,20 @@ from marquee.llm.common import partitions
 from marquee.session import staged
 
 BLOCK_CHARS = 8_000_000
-LOW = np.uint64((1 << 48) - 1)
-#: A second hash of six bytes' keys would be wasted on counting: bucket and low 48 bits name a key.
-WIDTH = 6
+#: Bucket and low bits name a key in counting; two keys of one name are counted as one, which callers must bear.
+BITS = np.uint64(40)
+LOW = np.uint64((1 << 40) - 1)
 
 
-def pack(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+def pack(names: np.ndarray) -> bytes:
+    """Sorted 40-bit numbers: how many there are for each of the highest eight bits, then the lower four bytes of each."""
+    counts = np.bincount((names >> np.uint64(32)).astype(np.int64), minlength=256).astype("<u4")
+    return counts.tobytes() + (names & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :WIDTH] = raw
-    return out.view("<u8").ravel()
+    counts = np.frombuffer(data, "<u4", 256)
+    return np.repeat(np.arange(256, dtype=np.uint64) << np.uint64(32), counts) | np.frombuffer(data, "<u4", offset=1024)
 
 
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -41,8 +41,8 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
 
 
 def named(keys: np.ndarray, n: int) -> np.ndarray:
-    """The name by which a key is counted: its bucket above its low 48 bits."""
-    return (bucket_of(keys, n).astype(np.uint64) << np.uint64(48)) | (keys & LOW)
+    """The name by which a key is counted: its bucket above its low 40 bits."""
+    return (bucket_of(keys, n).astype(np.uint64) << BITS) | (keys & LOW)
 
 
 def in_blocks(rows: DataFrame, text: str = "text", label: str = "blocks") -> DataFrame:
@@ -89,7 +89,8 @@ def rows_of(data: bytes) -> pa.Table:
 
 
 def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndarray]], n: int) -> DataFrame:
-    """(block, names, counts): for each block those of its keys that at least two documents have, sorted, with their count.
+    """(block, bucket, names, counts): for each block those of its keys that at least two documents have, packed, with their
+    counts up to 65535.
 
     ``keys_of`` gives the distinct keys of each document of a block, one array for each.
     """
@@ -103,7 +104,7 @@ def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndar
                 first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
                 counts = np.diff(np.append(first, len(keys)))
                 keys = keys[first]
-                ends = np.searchsorted(keys, np.arange(1, n + 1, dtype=np.uint64) << np.uint64(48))
+                ends = np.searchsorted(keys, np.arange(1, n + 1, dtype=np.uint64) << BITS)
                 out: list[list] = [[], [], [], [], []]
                 begin = 0
                 for b, end in enumerate(ends.tolist()):
@@ -118,10 +119,7 @@ def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndar
                 )
 
     def add_up(table: pa.Table) -> pa.Table:
-        empty = pa.table({"block": pa.array([], pa.int64()), "names": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
-        if not table.num_rows:
-            return empty
-        bucket = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(48)
+        bucket = table.column("bucket")[0].as_py()
         owner = table.column("block").to_numpy()
         parts = [unpack(x) for x in table.column("keys").to_pylist()]
         counts = []
@@ -141,20 +139,19 @@ def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndar
         keys, total, order = keys[again], np.repeat(total, size)[again], order[again]
         source = np.repeat(np.arange(len(lengths)), lengths)[order]
         by = np.argsort(source, kind="stable")
-        keys, total, source = keys[by] | bucket, total[by], source[by]
+        keys, total, source = keys[by], np.minimum(total[by], 65535).astype("<u2"), source[by]
         ends = np.searchsorted(source, np.arange(len(lengths)), side="right")
         rows, begin = [], 0
         for i, end in enumerate(ends.tolist()):
             if end > begin:
-                rows.append((int(owner[i]), keys[begin:end].astype("<u8").tobytes(), np.minimum(total[begin:end], 2**32 - 1).astype("<u4").tobytes()))
+                rows.append((int(owner[i]), bucket, pack(keys[begin:end]), total[begin:end].tobytes()))
             begin = end
-        if not rows:
-            return empty
-        a, b, c = zip(*rows, strict=True)
-        return pa.table({"block": pa.array(a, pa.int64()), "names": pa.array(b, pa.binary()), "counts": pa.array(c, pa.binary())})
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+        types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["block", "bucket", "names", "counts"])
 
     dealt = blocks.mapInArrow(deal, "bucket int, block long, keys binary, more binary, extra binary")
-    return dealt.groupBy("bucket").applyInArrow(add_up, "block long, names binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(add_up, "block long, bucket int, names binary, counts binary")
 
 
 def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndarray]], fn: Callable[[int, pa.Table, np.ndarray, np.ndarray], dict | None], schema: str) -> DataFrame:
@@ -168,14 +165,14 @@ def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.nda
 
     n = buckets(blocks)
     target = arrow_schema(StructType.fromDDL(schema))
-    pieces = seen_again(blocks, keys_of, n).groupBy("block").agg(F.collect_list(F.struct("names", "counts")).alias("pieces"))
+    pieces = seen_again(blocks, keys_of, n).groupBy("block").agg(F.collect_list(F.struct("bucket", "names", "counts")).alias("pieces"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 got = batch.column(1)[i].as_py() or []
-                names = np.concatenate([np.frombuffer(p["names"], "<u8") for p in got]) if got else np.empty(0, np.uint64)
-                counts = np.concatenate([np.frombuffer(p["counts"], "<u4") for p in got]) if got else np.empty(0, np.uint32)
+                names = np.concatenate([unpack(p["names"]) | np.uint64(p["bucket"]) << BITS for p in got]) if got else np.empty(0, np.uint64)
+                counts = np.concatenate([np.frombuffer(p["counts"], "<u2") for p in got]) if got else np.empty(0, np.uint16)
                 order = np.argsort(names)
                 out = fn(batch.column(2)[i].as_py(), rows_of(batch.column(0)[i].as_py()), names[order], counts[order])
                 if out is not None:

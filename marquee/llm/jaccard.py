@@ -3,9 +3,10 @@
 Words are runs without white space, A-Z lower-cased; a document's set holds its distinct runs of ``k`` words (hashed to 64 bits), the
 whole sequence when it has fewer. Two documents link when 100 * |intersection| >= percent * |union|.
 
-1. Shingles are ordered by how many documents have them, rarest first, and by name. Documents that link share a shingle of their
-   prefixes, the first |x| - ceil(t |x|) + 1 in this order. A shingle of one document alone links nothing, so most documents have
-   no candidates at all (``blocks.with_counts``).
+1. Shingles are ordered by how many documents have them, rarest first, those whose hash is below ``EARLY`` before all others. Documents
+   that link share a shingle of their prefixes, the first |x| - ceil(t |x|) + 1 in this order. The prefix of nearly all documents lies among the early
+   shingles, so only those are counted, and the others just for documents with too few (``blocks.with_counts``). A shingle
+   of one document alone links nothing, so most documents have no candidates at all.
 2. Equal sets are one class; classes with equal prefix and size are one group. Groups that share a prefix shingle form families:
    stars around the smallest group of each shingle, put together as components.
 3. Families are expanded to their sets, which are dealt by size into bands (only neighbouring bands can link), and each set is verified against its
@@ -31,6 +32,8 @@ from marquee.llm.common import WordHashes, doc_columns, plain_words, shingles
 from marquee.llm.components import components
 from marquee.session import staged
 
+#: Shingles with a smaller hash come first in the order: two fifths of them.
+EARLY = np.uint64(2 * 2**64 // 5)
 #: Sets in a block: two blocks of tokens and their product stay within some tens of MB.
 BLOCK = 256
 
@@ -39,6 +42,12 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _counted(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles that the prefix is taken from."""
+    early = tokens[: np.searchsorted(tokens, EARLY)]
+    return early if len(early) >= _prefix_length(len(tokens), percent) else tokens
+
+
 def _sets(rows: pa.Table, k: int, memo: WordHashes) -> list[np.ndarray]:
     return [np.unique(shingles(memo.of(plain_words(t)), k)) for t in rows.column("text").to_pylist()]
 
@@ -62,7 +71,7 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             sid = _signature(tokens)
             if sid not in seen:
                 seen.add(sid)
-                yield tokens
+                yield _counted(tokens, percent)
 
     def look_up(block: int, rows: pa.Table, names: np.ndarray, counts: np.ndarray) -> dict:
         sets = _sets(rows, k, WordHashes())
@@ -73,10 +82,10 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             prefix = tokens = None
             if sid is not None and sid not in done:
                 done.add(sid)
-                shared = counts_of(s, names, counts, n_buckets)
-                left = _prefix_length(len(s), percent) - int((shared < 2).sum())
-                ranked = s[shared >= 2]
-                ranked = ranked[np.lexsort((ranked, shared[shared >= 2]))[: max(0, left)]]
+                some = _counted(s, percent)
+                times = counts_of(some, names, counts, n_buckets)
+                order = np.lexsort((some, times, some >= EARLY))[: _prefix_length(len(s), percent)]
+                ranked = some[order[times[order] >= 2]]
                 if len(ranked):
                     prefix, tokens = ranked.view(np.int64), s.astype("<u8").tobytes()
             out["sid"].append(sid.hex() if sid is not None else None)
