@@ -73,6 +73,32 @@ REVIEWS_PAYLOAD = (
     "id string, author string, content string, created_at string, url string, author_details struct<rating:double>, "
     f"results array<struct<{REVIEW_FIELDS}>>"
 )
+# How payloads become tables: the payload's schema, the array of records in it (None: the payload is one record), the key, and
+# the columns whose source has another name or shape than the column itself.
+FLATTENING = {
+    "movies": (
+        MOVIE_PAYLOAD,
+        None,
+        ("movie_id",),
+        {
+            "movie_id": "id",
+            "year": "year(try_cast(release_date AS date))",
+            "genres": "coalesce(genres.name, CAST(array() AS array<string>))",
+            "language": "original_language",
+        },
+    ),
+    "genres": (GENRE_PAYLOAD, None, ("genre_id",), {"genre_id": "id"}),
+    "cast": (CREDITS_PAYLOAD, "cast", ("person_id", "movie_id"), {"person_id": "id", "movie_id": "tmdb_id", "credit_order": "order"}),
+    "keywords": (KEYWORDS_PAYLOAD, "keywords", ("movie_id", "keyword_id"), {"movie_id": "tmdb_id", "keyword_id": "id", "keyword": "name"}),
+    "reviews": (
+        REVIEWS_PAYLOAD,
+        # A page of results, or the single review that the payload itself is.
+        """coalesce(results, CASE WHEN author IS NOT NULL OR content IS NOT NULL
+           THEN array(struct(id, author, content, created_at, url, author_details)) END)""",
+        ("review_id",),
+        {"review_id": "id", "movie_id": "tmdb_id", "rating": "author_details.rating"},
+    ),
+}
 _OFFERS = ",".join(f"{kind}:array<struct<provider_name:string>>" for kind in ("flatrate", "rent", "buy"))
 LIST_PAGE_PAYLOAD = "page int, total_pages int, results array<struct<id:bigint>>"
 RESPONSE_PAYLOAD = (
