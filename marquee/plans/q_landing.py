@@ -292,3 +292,21 @@ def stream_land_dedup(spark, sf):
     stream = read_stream(spark, source, events.schema, files_per_batch=1)
     land_stream(stream, ["event_id"], target, state).awaitTermination()
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value", "props")
+
+
+@query(
+    "stream_land_window",
+    """WITH RECURSIVE e AS (SELECT event_type, CAST(ts AS TIMESTAMP) AS t FROM events),
+  landed AS (
+    SELECT event_type, min(t) AS t FROM e GROUP BY 1
+    UNION ALL
+    SELECT l.event_type, min(e.t) AS t FROM landed l JOIN e ON e.event_type = l.event_type AND e.t > l.t + INTERVAL 6 HOUR GROUP BY 1)
+SELECT event_type, epoch_us(t) AS landed_at FROM landed""",
+)
+def stream_land_window(spark, sf):
+    """All events landed by type, each type once in six hours: repeats inside and past the window."""
+    source, target, state = (scratch_dir(spark, label) for label in ("incoming", "landed", "state"))
+    events = V.load(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("fetched_at"))
+    events.write.parquet(source)
+    land_stream(read_stream(spark, source, events.schema), ["event_type"], target, state, hours=6).awaitTermination()
+    return spark.read.parquet(target).select("event_type", F.unix_micros("fetched_at").alias("landed_at"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import chatlog, corpus, embed, history
-from marquee.streaming.landing import dedup_within_window, land_stream, read_stream
+from marquee.streaming.landing import dedup_within_window, land_stream, read_stream, thin
 
 MOVIES = "movie_id bigint, title string, overview string, tagline string"
 
@@ -66,6 +66,10 @@ def test_embedding_retries_and_checks_the_count():
     assert embed._with_retries(flaky, ["a", "b"], 4).shape == (2, 2) and len(tries) == 2
     with pytest.raises(ValueError, match="expected 2 vectors"):
         embed._with_retries(lambda b: np.ones((1, 2)), ["a", "b"], 1)
+    calls = []
+    with pytest.raises(ValueError, match="expected 2 vectors"):
+        embed._with_retries(lambda b: calls.append(1) or np.ones((1, 2)), ["a", "b"], 4)
+    assert len(calls) == 1
 
 
 def test_hashed_tokens():
@@ -167,6 +171,26 @@ def test_stream_lands_once_per_window_over_many_batches(spark, tmp_path):
     assert run() == [(1, "a"), (2, "a"), (2, "d"), (3, "late")]
 
 
+@pytest.mark.parametrize("files", [1, 2, None])
+def test_nothing_that_is_far_apart_is_lost_whatever_the_batches(spark, tmp_path, files):
+    schema = "id bigint, fetched_at timestamp"
+    source, target, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    for i, day in ((1, "01-01"), (1, "01-04"), (2, "01-06"), (2, "01-02")):
+        row = spark.createDataFrame([(i, f"2024-{day}")], "id bigint, at string").selectExpr("id", "cast(at as timestamp) fetched_at")
+        row.coalesce(1).write.mode("append").parquet(source)
+    for _ in range(2):
+        land_stream(read_stream(spark, source, schema, files_per_batch=files), ["id"], target, state).awaitTermination()
+        assert spark.read.parquet(target).count() == 4
+
+
+def test_a_hot_key_is_walked_in_order(spark):
+    hours = [0, 1, 23, 24, 25, 26, 49, 50, 51, 74, 76]
+    docs = spark.createDataFrame([(7, h) for h in hours] * 2 + [(None, 3), (None, 4)], "id bigint, h int")
+    docs = docs.select("id", F.timestamp_seconds(F.col("h") * 3600).alias("fetched_at"), "h").repartition(5)
+    got = sorted((r["id"] or 0, r["h"]) for r in thin(docs, ["id"], 24).collect())
+    assert got == [(0, 3), (7, 0), (7, 25), (7, 50), (7, 76)]
+
+
 def test_in_stream_dedup_keeps_one_per_key_within_the_window(spark, tmp_path):
     source, target, state = (str(tmp_path / p) for p in ("in", "out", "state"))
     events = spark.range(100).select(
