@@ -27,6 +27,11 @@ def has_text(title: Column, overview: Column) -> Column:
     return overview.isNotNull() | non_empty(title)
 
 
+def like_pattern(needle: Column) -> Column:
+    """Pattern of a substring match. ``%`` and ``_`` stay wildcards; a backslash is a character like any other."""
+    return F.concat(F.lit("%"), F.replace(needle, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+
+
 def title_like(needle: Column, *titles: Column, literal: bool = False) -> Column:
     """Case-insensitive substring match on any of ``titles``.
 
@@ -37,7 +42,7 @@ def title_like(needle: Column, *titles: Column, literal: bool = False) -> Column
         if literal:
             hit = F.contains(F.lower(title), F.lower(needle))
         else:
-            hit = F.call_function("like", F.lower(title), F.lower(F.concat(F.lit("%"), needle, F.lit("%"))))
+            hit = F.call_function("like", F.lower(title), F.lower(like_pattern(needle)))
         match = match | F.coalesce(hit, F.lit(False))
     return match
 

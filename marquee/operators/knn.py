@@ -19,14 +19,15 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from marquee.operators.dedup import top_n_per_group
-from marquee.session import rows_within
+from marquee.session import rows_within, staged
 
 # One block of query vectors: at most this many rows and this many numbers (32 MB as double).
 BLOCK_QUERIES = 4096
 BLOCK_NUMBERS = 4_194_304
 # Similarities held at once in a task.
 PRODUCT_CELLS = 2_000_000
-SIMILARITY_DIGITS = 6
+# Best rows held at once in a task, over all queries of a block.
+BEST_CELLS = 4_194_304
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -46,41 +47,61 @@ def unit_rows(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Best:
-    """The k best (similarity, id) per query seen by one task; ties go to the smaller id."""
+    """The k best (similarity, id) of each query seen by one task; ties go to the smaller id.
 
-    def __init__(self, k: int):
+    One row of ``sim`` and ``id`` for each query, in no order. A row of the index is compared with each query's k-th best first;
+    only queries that it reaches are touched.
+    """
+
+    def __init__(self, k: int, queries: int):
         self.k = k
-        self.query = np.empty(0, dtype=np.int64)
-        self.sim = np.empty(0)
+        self.sim = np.full((queries, k), -np.inf)
+        self.floor = np.full(queries, -np.inf)
         self.id: np.ndarray | None = None
 
-    def add(self, query: np.ndarray, sim: np.ndarray, ids: np.ndarray) -> None:
-        self.query = np.concatenate([self.query, query])
-        self.sim = np.concatenate([self.sim, sim])
-        self.id = ids if self.id is None else np.concatenate([self.id, ids])
-        order = np.lexsort((self.id, -self.sim, self.query))
-        q = self.query[order]
-        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-        rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
-        keep = order[rank < self.k]
-        self.query, self.sim, self.id = self.query[keep], self.sim[keep], self.id[keep]
-
-
-def _add_block(best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, which: np.ndarray) -> None:
+    def offer(self, which: np.ndarray, sims: np.ndarray, ids: np.ndarray) -> None:
+        """``sims`` has a row for each of ``ids`` and a column for each query of ``which``."""
+        reached = sims >= self.floor[which]
+        cols = np.flatnonzero(reached.any(axis=0))
+        if not len(cols):
+            return
+        rows = np.flatnonzero(reached[:, cols].any(axis=1))
+        if self.id is None:
+            self.id = np.zeros(self.sim.shape, dtype=ids.dtype)
+        q = which[cols]
+        both = np.concatenate([self.sim[q], sims[np.ix_(rows, cols)].T], axis=1)
+        names = np.concatenate([self.id[q], np.broadcast_to(ids[rows], (len(q), len(rows)))], axis=1)
+        best = np.argpartition(-both, self.k - 1, axis=1)[:, : self.k]
+        floor = np.take_along_axis(both, best, axis=1).min(axis=1)
+        tied = np.flatnonzero(((both >= floor[:, None]).sum(axis=1) > self.k) & (floor > -np.inf))
+        for i in tied.tolist():
+            above = np.flatnonzero(both[i] > floor[i])
+            equal = np.flatnonzero(both[i] == floor[i])
+            best[i] = np.concatenate([above, equal[np.argsort(names[i, equal], kind="stable")][: self.k - len(above)]])
+        self.sim[q] = np.take_along_axis(both, best, axis=1)
+        self.id[q] = np.take_along_axis(names, best, axis=1)
+        self.floor[q] = floor
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Numbers of the queries, similarities, ids."""
+        if self.id is None:
+            return None
+        query, place = np.nonzero(self.sim > -np.inf)
+        return query, self.sim[query, place], self.id[query, place]
+
+
+def _add_block(best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, which: np.ndarray, digits: int | None) -> None:
     """Offer every row to the queries numbered ``which``."""
     step = max(1, PRODUCT_CELLS // max(1, len(which)))
+    mine = queries[which].T
     for at in range(0, len(rows), step):
-        sims = np.round(rows[at : at + step] @ queries[which].T, SIMILARITY_DIGITS) + 0.0
-        n = len(sims)
-        if n > best.k:
-            floor = np.partition(sims, n - best.k, axis=0)[n - best.k]
-            r, c = np.nonzero(sims >= floor)
-        else:
-            r, c = np.nonzero(np.ones_like(sims, dtype=bool))
-        best.add(which[c], sims[r, c], ids[at : at + step][r])
+        sims = rows[at : at + step] @ mine
+        if digits is not None:
+            sims = np.round(sims, digits) + 0.0
+        best.offer(which, sims, ids[at : at + step])
 
 
-def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int, probes=None) -> DataFrame:
+def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int, digits: int | None, probes=None) -> DataFrame:
     """Top-k per task. ``probes`` maps a cell to the queries that visit it; without it every row meets every query."""
     names = pa.array(block.ids, to_arrow_type(block.id_type))
     shared = index.sparkSession.sparkContext.broadcast((names, block.vectors, probes))
@@ -91,7 +112,7 @@ def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, q, visits = shared.value
-        best = _Best(k)
+        best = _Best(k, len(q))
         everyone = np.arange(len(q))
         for rb in batches:
             if not rb.num_rows:
@@ -99,16 +120,16 @@ def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int
             rows, good = unit_rows(matrix(rb.column(1), dim))
             ids = rb.column(0).to_numpy(zero_copy_only=False)
             if visits is None:
-                _add_block(best, ids[good], rows[good], q, everyone)
+                _add_block(best, ids[good], rows[good], q, everyone, digits)
                 continue
             cells = rb.column(2).to_numpy(zero_copy_only=False)
             for cell in np.unique(cells[good]):
                 inside = good & (cells == cell)
-                _add_block(best, ids[inside], rows[inside], q, visits[int(cell)])
-        if best.id is not None and len(best.id):
+                _add_block(best, ids[inside], rows[inside], q, visits[int(cell)], digits)
+        if (found := best.rows()) is not None:
+            query, sim, ids = found
             yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(best.query)), pa.array(best.id, arrow_id), pa.array(best.sim)],
-                names=["query_id", id_col, "similarity"],
+                [names.take(pa.array(query)), pa.array(ids, arrow_id), pa.array(sim)], names=["query_id", id_col, "similarity"]
             )
 
     found = index.select(*cols).filter(F.col(vec_col).isNotNull())
@@ -139,7 +160,8 @@ def _block(rows: list[Row], id_type: DataType) -> QueryBlock:
 def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
     """``queries`` (query_id, query_vector) in blocks of bounded size, fetched one at a time."""
     if isinstance(queries, QueryBlock):
-        yield queries
+        if queries.ids:
+            yield queries
         return
     queries = queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull())
     id_type = queries.schema["query_id"].dataType
@@ -151,12 +173,16 @@ def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
             step = max(1, BLOCK_NUMBERS // max(1, width))
             yield from (rows[i : i + step] for i in range(0, len(rows), step))
             return
-        pieces = -(-part.count() // BLOCK_QUERIES) * 2
+        total = part.count()
+        if part.select("query_id").distinct().limit(2).count() < 2:
+            raise ValueError(f"{total} queries have one query_id; ids must be unique")
+        pieces = -(-total // BLOCK_QUERIES) * 2
         cut = part.withColumn("_piece", F.pmod(F.xxhash64("query_id", F.lit(depth)), F.lit(pieces)))
         for piece in range(pieces):
             yield from fetch(cut.filter(F.col("_piece") == piece).drop("_piece"), depth + 1)
 
-    for rows in fetch(queries, 0):
+    # Written once: what the queries come from, an embedding model say, is not asked again for each block.
+    for rows in fetch(staged(queries, "queries"), 0):
         block = _block(rows, id_type)
         if block.ids:
             yield block
@@ -189,13 +215,28 @@ def _top(parts: list[DataFrame], id_col: str, k: int) -> DataFrame:
     return top_n_per_group(some, ["query_id"], order, k, rank="rank")
 
 
-def knn(index: DataFrame, queries: Queries, k: int, id_col: str = "movie_id", vec_col: str = "embedding_vector") -> DataFrame:
+def _held(queries: Queries, k: int) -> Iterator[QueryBlock]:
+    """The blocks of ``queries``, cut so that a task's k best of each stay within ``BEST_CELLS``."""
+    step = max(1, BEST_CELLS // k)
+    for block in query_blocks(queries):
+        for at in range(0, len(block.ids), step):
+            yield QueryBlock(block.ids[at : at + step], block.vectors[at : at + step], block.id_type)
+
+
+def knn(
+    index: DataFrame,
+    queries: Queries,
+    k: int,
+    id_col: str = "movie_id",
+    vec_col: str = "embedding_vector",
+    digits: int | None = None,
+) -> DataFrame:
     """Exact (query_id, id, similarity, rank): the k most similar index rows of each query.
 
-    Order is similarity (rounded to 6 digits) descending, then id. Rows with a NULL or zero vector are never hits; a
-    vector of another dimension is an error.
+    Order is similarity descending, then id. With ``digits`` similarities are rounded first and rows that round alike are ties, which makes
+    results comparable between engines. Rows with a NULL or zero vector are never hits; a vector of another dimension is an error.
     """
-    parts = [_scan(index, id_col, vec_col, block, k) for block in query_blocks(queries)]
+    parts = [_scan(index, id_col, vec_col, block, k, digits) for block in _held(queries, k)]
     return _top(parts or [_no_hits(index, queries, id_col)], id_col, k)
 
 
@@ -207,6 +248,7 @@ def knn_cells(
     nprobe: int,
     id_col: str = "movie_id",
     vec_col: str = "embedding_vector",
+    digits: int | None = None,
 ) -> DataFrame:
     """Approximate ``knn``: only the ``nprobe`` cells nearest each query are read, ranked exactly within them.
 
@@ -215,13 +257,13 @@ def knn_cells(
     """
     parts = []
     nprobe = min(nprobe, len(centroids))
-    for block in query_blocks(queries):
+    for block in _held(queries, k):
         # Squared distance to each centroid, up to a constant per query.
         away = (centroids * centroids).sum(axis=1)[None, :] - 2.0 * (block.vectors @ centroids.T)
         nearest = np.argpartition(away, nprobe - 1, axis=1)[:, :nprobe]
         visits = {int(c): np.flatnonzero((nearest == c).any(axis=1)) for c in np.unique(nearest)}
         opened = index.filter(F.col("cell").isin([int(c) for c in visits]))
-        parts.append(_scan(opened, id_col, vec_col, block, k, visits))
+        parts.append(_scan(opened, id_col, vec_col, block, k, digits, visits))
     return _top(parts or [_no_hits(index, queries, id_col)], id_col, k)
 
 

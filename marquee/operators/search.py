@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import constants as K
-from marquee.functions.columns import genres_text, has_genre, runtime_within, snippet, summary_snippet, title_like
+from marquee.functions.columns import genres_text, has_genre, like_pattern, runtime_within, snippet, summary_snippet, title_like
 from marquee.operators.dedup import top_n_per_group
 from marquee.operators.knn import QueryBlock, knn, one_block
+from marquee.session import staged
 
 # Title requests sent to every task at once.
 BLOCK_REQUESTS = 10_000
@@ -46,7 +47,10 @@ def _request_blocks(requests: DataFrame) -> list[DataFrame]:
     n = requests.limit(BLOCK_REQUESTS + 1).count()
     if n <= BLOCK_REQUESTS:
         return [requests]
-    pieces = -(-requests.count() // BLOCK_REQUESTS) * 2
+    total = requests.count()
+    if requests.select("request_id").distinct().limit(2).count() < 2:
+        raise ValueError(f"{total} requests have one request_id; ids must be unique")
+    pieces = -(-total // BLOCK_REQUESTS) * 2
     cut = requests.withColumn("_piece", F.pmod(F.xxhash64("request_id", F.lit(pieces)), F.lit(pieces)))
     return [
         block
@@ -66,8 +70,8 @@ def title_matches(movies: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     # Lower-cased once per title and once per request, not once per pair.
     lowered = movies.withColumn("_title", F.lower("title")).withColumn("_original", F.lower("original_title"))
     for block in _request_blocks(requests.select("request_id", "needle")):
-        asked = block.withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit(r"[%_\\]")))
-        pattern = F.concat(F.lit("%"), "_needle", F.lit("%"))
+        asked = block.withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit("[%_]")))
+        pattern = like_pattern(F.col("_needle"))
 
         def hit(title: str) -> Column:
             # A needle without wildcards is a plain substring; LIKE would compile a pattern per pair.
@@ -80,8 +84,8 @@ def title_matches(movies: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     return reduce(DataFrame.unionByName, hits)
 
 
-def movie_details(movies: DataFrame, requests: DataFrame) -> DataFrame:
-    return title_matches(movies, requests, K.DETAILS_LIMIT)
+def movie_details(movies: DataFrame, requests: DataFrame, limit: int = K.DETAILS_LIMIT) -> DataFrame:
+    return title_matches(movies, requests, limit)
 
 
 def compare_movies(movies: DataFrame, requests: DataFrame) -> DataFrame:
@@ -132,20 +136,26 @@ def semantic_search(
     max_runtime: int = 0,
     genre: str = "",
     limit: int = K.SEARCH_LIMIT,
-    mode: str = "postfilter",
+    mode: str = "prefilter",
     find=knn,
 ) -> DataFrame:
     """The ``limit`` most similar catalogue rows per query, with optional runtime and genre filters.
 
-    ``postfilter`` filters a fixed number of nearest candidates, so it can return fewer rows than match; ``prefilter``
-    filters the catalogue first and always fills ``limit`` when enough rows match. ``find`` is the vector top-k to use.
+    ``prefilter`` filters the catalogue first and always fills ``limit`` when enough rows match. An index with columns ``runtime``
+    and ``genres`` (``with_attributes``) is filtered where it is scanned; another one is joined to the catalogue rows that match.
+    ``postfilter`` filters a fixed number of nearest candidates, so it can return fewer rows than match. ``find`` is the
+    vector top-k to use.
     """
     attributes = movies.select("movie_id", "title", "vote_average", "runtime", "year", "genres", "overview")
     block = one_block(queries)
     queries = block or queries
     if mode == "prefilter":
         allowed = attributes.filter(_keep(max_runtime, genre))
-        hits = find(index.join(allowed.select("movie_id"), "movie_id", "left_semi"), queries, limit)
+        if {"runtime", "genres"} <= set(index.columns):
+            searched = index.filter(_keep(max_runtime, genre))
+        else:
+            searched = index.join(allowed.select("movie_id"), "movie_id", "left_semi")
+        hits = find(searched, queries, limit)
         ranked = allowed.join(_small(hits, block, limit), "movie_id")
     elif mode == "postfilter":
         n = _candidate_count(limit, bool(max_runtime or genre))
@@ -158,6 +168,11 @@ def semantic_search(
     return summarise(ranked)
 
 
+def with_attributes(vectors: DataFrame, movies: DataFrame) -> DataFrame:
+    """``vectors`` of catalogue rows with the attributes that searches filter by, to build an index from."""
+    return vectors.drop("runtime", "genres").join(movies.select("movie_id", "runtime", "genres"), "movie_id")
+
+
 def browse_semantic(index: DataFrame, movies: DataFrame, queries: DataFrame, limit: int = K.BROWSE_SEMANTIC_LIMIT, find=knn) -> DataFrame:
     block = one_block(queries)
     hits = enrich(find(index, block or queries, limit), movies, few_hits(block, limit))
@@ -185,12 +200,27 @@ def recommend_for_groups(
     """(group_id, movie_id, similarity, rank): the best unseen titles for every group.
 
     ``group_queries`` (group_id, query_id) says which of the shared ``queries`` speaks for a group, so one vector pass
-    serves all groups.
+    serves all groups. A first pass looks at ``candidates`` rows per query. Groups that are still short of ``picks`` get further passes
+    over the queries that speak for them, with four times as many candidates each, until they have enough or the index is exhausted.
     """
-    block = one_block(queries)
-    hits = find(index, block or queries, candidates).drop("rank")
-    titled = movies.select("movie_id", "title").join(_small(hits, block, candidates), "movie_id")
-    offered = group_queries.join(_small(titled, block, candidates), "query_id")
-    unseen = exclude_seen(offered, watchlist, recommendations)
     order = [F.col("similarity").desc(), F.col("movie_id").asc()]
-    return top_n_per_group(unseen, ["group_id"], order, picks, rank="rank")
+    titles = movies.select("movie_id", "title")
+    group_queries = staged(group_queries.select("group_id", "query_id"), "groups")
+    queries = staged(queries.select("query_id", "query_vector"), "queries")
+    done, n = [], candidates
+    while True:
+        block = one_block(queries)
+        hits = staged(find(index, block or queries, n).drop("rank"), "hits")
+        offered = group_queries.join(titles.join(_small(hits, block, n), "movie_id"), "query_id")
+        best = top_n_per_group(exclude_seen(offered, watchlist, recommendations), ["group_id"], order, picks, rank="rank")
+        best = staged(best, "picked")
+        # A query with fewer hits than asked for has met every row that it can.
+        open_queries = hits.groupBy("query_id").agg(F.count("*").alias("c")).filter(F.col("c") >= n).select("query_id")
+        full = best.groupBy("group_id").agg(F.count("*").alias("c")).filter(F.col("c") >= picks).select("group_id")
+        short = staged(group_queries.join(full, "group_id", "left_anti").join(open_queries, "query_id", "left_semi"), "groups")
+        if short.isEmpty():
+            done.append(best)
+            return reduce(DataFrame.unionByName, done)
+        done.append(best.join(short.select("group_id").distinct(), "group_id", "left_anti"))
+        group_queries, n = short, n * 4
+        queries = queries.join(short.select("query_id").distinct(), "query_id", "left_semi")

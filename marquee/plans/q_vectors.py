@@ -14,12 +14,16 @@ from marquee.session import scratch_dir
 from marquee.sources.tables import change_feed
 
 _DIM = 64
+# As in the SQL: similarities are rounded before they are ranked, so that both engines see the same ties.
+_DIGITS = 6
+_knn = partial(knn.knn, digits=_DIGITS)
+_knn_cells = partial(knn.knn_cells, digits=_DIGITS)
 _TOP10 = "SELECT query_id, movie_id, similarity, CAST(rank AS INTEGER) AS rank FROM hits WHERE rank <= 10"
 
 
 @query("knn_exact", with_views(_TOP10, V.LABEL_QUERIES, V.HITS))
 def knn_exact(spark, sf):
-    return knn.knn(V.vectors(spark, sf), V.label_queries(spark, sf), 10)
+    return _knn(V.vectors(spark, sf), V.label_queries(spark, sf), 10)
 
 
 # The vector of the first part of every brand that has one.
@@ -35,7 +39,7 @@ def _brand_queries(spark, sf):
 
 @query("knn_batch", with_views(_TOP10, _BRAND_QUERIES, V.HITS))
 def knn_batch(spark, sf):
-    return knn.knn(V.vectors(spark, sf), _brand_queries(spark, sf), 10)
+    return _knn(V.vectors(spark, sf), _brand_queries(spark, sf), 10)
 
 
 def built_index(spark, sf):
@@ -81,14 +85,14 @@ def ann_index_sync(spark, sf):
 @query("knn_ann")
 def knn_ann(spark, sf):
     path, model = built_index(spark, sf)
-    return knn.knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=6)
+    return _knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=6)
 
 
 @query("knn_ann_all_cells", with_views(_TOP10, V.LABEL_QUERIES, V.HITS))
 def knn_ann_all_cells(spark, sf):
     """Visiting every cell must give the exact answer."""
     path, model = built_index(spark, sf)
-    return knn.knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=16)
+    return _knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=16)
 
 
 @query("knn_recall")
@@ -108,7 +112,7 @@ def knn_recall(spark, sf):
 )
 def search_enrich(spark, sf):
     block = knn.one_block(V.label_queries(spark, sf))
-    hits = knn.knn(V.vectors(spark, sf), block, 50)
+    hits = _knn(V.vectors(spark, sf), block, 50)
     return search.enrich(hits, V.movies(spark, sf), search.few_hits(block, 50)).select(
         "query_id",
         "movie_id",
@@ -131,18 +135,32 @@ def _picked(rows):
 
 @query(
     "semantic_search",
-    with_views(_PICKED.format("(SELECT * FROM hits WHERE rank <= 400)"), V.MOVIES, V.LABEL_QUERIES, V.HITS),
+    with_views(_PICKED.format("sims"), V.MOVIES, V.LABEL_QUERIES, V.HITS),
 )
 def semantic_search(spark, sf):
     return _picked(
         search.semantic_search(
-            V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf), max_runtime=25, genre=" Economy ", limit=5
+            V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf), max_runtime=25, genre=" Economy ", limit=5, find=_knn
         )
     )
 
 
 @query("semantic_search_prefilter", with_views(_PICKED.format("sims"), V.MOVIES, V.LABEL_QUERIES, V.HITS))
 def semantic_search_prefilter(spark, sf):
+    """Over an index that has the attributes itself."""
+    movies = V.movies(spark, sf)
+    index = search.with_attributes(V.vectors(spark, sf), movies)
+    return _picked(
+        search.semantic_search(index, movies, V.label_queries(spark, sf), max_runtime=25, genre="economy", limit=5, find=_knn)
+    )
+
+
+@query(
+    "semantic_search_postfilter",
+    with_views(_PICKED.format("(SELECT * FROM hits WHERE rank <= 400)"), V.MOVIES, V.LABEL_QUERIES, V.HITS),
+)
+def semantic_search_postfilter(spark, sf):
+    """Filters the 400 nearest, as asked for by the mode."""
     return _picked(
         search.semantic_search(
             V.vectors(spark, sf),
@@ -151,7 +169,8 @@ def semantic_search_prefilter(spark, sf):
             max_runtime=25,
             genre="economy",
             limit=5,
-            mode="prefilter",
+            mode="postfilter",
+            find=_knn,
         )
     )
 
@@ -161,14 +180,14 @@ def semantic_search_prefilter(spark, sf):
     with_views(
         """SELECT query_id, movie_id, title, similarity, CAST(pick AS INTEGER) AS rank
            FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, movie_id) AS pick
-                 FROM (SELECT * FROM hits WHERE rank <= 20) JOIN movies USING (movie_id)) WHERE pick <= 5""",
+                 FROM sims JOIN movies USING (movie_id)) WHERE pick <= 5""",
         V.MOVIES,
         V.LABEL_QUERIES,
         V.HITS,
     ),
 )
 def semantic_search_unfiltered(spark, sf):
-    rows = search.semantic_search(V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf))
+    rows = search.semantic_search(V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf), find=_knn)
     return rows.select("query_id", "movie_id", "title", "similarity", "rank")
 
 
@@ -183,7 +202,7 @@ def semantic_search_unfiltered(spark, sf):
     ),
 )
 def browse_semantic(spark, sf):
-    rows = search.browse_semantic(V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf))
+    rows = search.browse_semantic(V.vectors(spark, sf), V.movies(spark, sf), V.label_queries(spark, sf), find=_knn)
     return rows.select("query_id", "movie_id", "similarity", "rank", "genres_text")
 
 
@@ -218,6 +237,7 @@ def _taste(spark, sf):
 
 
 def _recommend(spark, sf, find):
+    """A first pass over 40 candidates; groups that have seen them get more."""
     return search.recommend_for_groups(
         _taste(spark, sf),
         V.vectors(spark, sf),
@@ -237,7 +257,7 @@ def _recommend(spark, sf, find):
         """SELECT group_id, movie_id, title, similarity, CAST(pick AS INTEGER) AS rank FROM (
            SELECT group_id, movie_id, title, similarity,
              row_number() OVER (PARTITION BY group_id ORDER BY similarity DESC, movie_id) AS pick
-           FROM taste JOIN (SELECT * FROM hits WHERE hits.rank <= 40) USING (query_id) JOIN movies USING (movie_id)
+           FROM taste JOIN sims USING (query_id) JOIN movies USING (movie_id)
            WHERE NOT EXISTS (SELECT 1 FROM watchlist w WHERE w.group_id = taste.group_id AND w.movie_id = movies.movie_id)
              AND NOT EXISTS (SELECT 1 FROM recommendations s WHERE s.group_id = taste.group_id AND s.movie_id = movies.movie_id))
            WHERE pick <= 3""",
@@ -250,7 +270,7 @@ def _recommend(spark, sf, find):
     ),
 )
 def recommend_for_groups(spark, sf):
-    return _recommend(spark, sf, knn.knn)
+    return _recommend(spark, sf, _knn)
 
 
 @query("recommend_for_groups_ann")
@@ -262,4 +282,4 @@ def recommend_for_groups_ann(spark, sf):
 
 
 def _cells(index, centres, _, queries, k):
-    return knn.knn_cells(index, centres, queries, k, nprobe=6)
+    return _knn_cells(index, centres, queries, k, nprobe=6)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from marquee import constants as K
 from marquee.operators import corpus, embed, history, merge, search
 from marquee.operators.knn import knn
+from marquee.session import staged
 from marquee.sources import tables
 from marquee.sources.tables import Namespace
 
@@ -42,11 +43,13 @@ def search_movies_semantic(
     max_runtime: int = 0,
     genre: str = "",
     limit: int = K.SEARCH_LIMIT,
-    mode: str = "postfilter",
+    mode: str = "prefilter",
+    chars: int | None = None,
 ) -> DataFrame:
-    """Best ``limit`` titles per (query_id, query)."""
-    cut = corpus.embed_input(queries.select("query_id", "query"), "query")
-    vectors = embed.embed_documents(cut, "query", cat.embed_batch, out="query_vector")
+    """Best ``limit`` titles per (query_id, query). Texts are embedded once; ``chars`` must be what the index was embedded with."""
+    asked = queries.select("query_id", "query")
+    asked = asked if chars is None else corpus.embed_input(asked, "query", chars)
+    vectors = staged(embed.embed_documents(asked, "query", cat.embed_batch, out="query_vector"), "queries")
     return search.semantic_search(cat.vectors, cat.table("movies"), vectors, max_runtime, genre, limit, mode, cat.find)
 
 

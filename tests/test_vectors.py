@@ -1,12 +1,16 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import ann, knn, search
 from marquee.plans import views as V
+from marquee.session import scratch_dir
 from marquee.sources.tables import change_feed
 
 SF = "/root/testdata/sf0.001"
+top = partial(knn.knn, digits=6)
 
 
 def frame(spark, vectors, ids=None, id_type="bigint"):
@@ -40,7 +44,7 @@ def test_exact_top_k_with_copies_in_any_partitioning(spark, k, copies):
     queries = np.concatenate([rng.normal(size=(5, 8)), base[:1]])
     want = brute(vectors, queries, k)
     for parts in (1, 5):
-        got = found(knn.knn(frame(spark, vectors).repartition(parts), asked(spark, queries), k))
+        got = found(top(frame(spark, vectors).repartition(parts), asked(spark, queries), k))
         assert got.keys() == want.keys()
         assert all(abs(got[key] - want[key]) < 1.5e-6 for key in want)
 
@@ -48,20 +52,20 @@ def test_exact_top_k_with_copies_in_any_partitioning(spark, k, copies):
 def test_blocks_of_queries_cover_all_queries(spark, monkeypatch):
     rng = np.random.default_rng(4)
     vectors, queries = rng.normal(size=(50, 4)), rng.normal(size=(23, 4))
-    whole = found(knn.knn(frame(spark, vectors), asked(spark, queries), 3))
+    whole = found(top(frame(spark, vectors), asked(spark, queries), 3))
     monkeypatch.setattr(knn, "BLOCK_QUERIES", 5)
     assert knn.one_block(asked(spark, queries)) is None
-    assert found(knn.knn(frame(spark, vectors), asked(spark, queries), 3)) == whole
+    assert found(top(frame(spark, vectors), asked(spark, queries), 3)) == whole
     monkeypatch.setattr(knn, "PRODUCT_CELLS", 10)
-    assert found(knn.knn(frame(spark, vectors), asked(spark, queries), 3)) == whole
+    assert found(top(frame(spark, vectors), asked(spark, queries), 3)) == whole
 
 
 def test_zero_and_null_vectors_are_no_hits_and_text_ids_work(spark):
     vectors = [[1, 0], [0, 0], None, [1, 1]]
     df = frame(spark, vectors, ids=["b", "z", "n", "a"], id_type="string")
-    got = found(knn.knn(df, asked(spark, [[1, 0], [0, 0]]), 5))
+    got = found(top(df, asked(spark, [[1, 0], [0, 0]]), 5))
     assert got == {(0, "b"): 1.0, (0, "a"): pytest.approx(0.707107)}
-    assert found(knn.knn(df, asked(spark, [[0, 0]]), 5)) == {}
+    assert found(top(df, asked(spark, [[0, 0]]), 5)) == {}
 
 
 def test_wrong_dimension_is_an_error(spark):
@@ -78,10 +82,10 @@ def test_index_is_exact_over_all_cells_and_good_over_some(spark, tmp_path):
     path = str(tmp_path / "index")
     model = ann.build_index(vectors, path, 64, cells=12)
     index = spark.read.parquet(path)
-    truth = knn.knn(vectors, queries, 10)
-    every = knn.knn_cells(index, ann.centroids(model), queries, 10, nprobe=99)
+    truth = top(vectors, queries, 10)
+    every = knn.knn_cells(index, ann.centroids(model), queries, 10, nprobe=99, digits=6)
     assert found(every).keys() == found(truth).keys()
-    some = knn.knn_cells(index, ann.centroids(model), queries, 10, nprobe=6)
+    some = knn.knn_cells(index, ann.centroids(model), queries, 10, nprobe=6, digits=6)
     shares = [r["recall"] for r in knn.recall(some, truth).collect()]
     # The test vectors hardly cluster: half of the cells must still find well over half of the neighbours.
     assert len(shares) == 10 and np.mean(shares) >= 0.6
@@ -121,8 +125,10 @@ def test_prefilter_fills_what_postfilter_cannot(spark):
     vectors = rng.normal(size=(600, 6))
     index, movies, queries = frame(spark, vectors), catalogue(spark, 590), asked(spark, rng.normal(size=(2, 6)))
     rare = movies.withColumn("genres", F.when(F.col("movie_id").isin(3, 501, 502, 503, 7), F.array(F.lit("Rare"))))
-    post = search.semantic_search(index, rare, queries, genre="rare", limit=5)
-    pre = search.semantic_search(index, rare, queries, genre="rare", limit=5, mode="prefilter")
+    post = search.semantic_search(index, rare, queries, genre="rare", limit=5, mode="postfilter", find=top)
+    pre = search.semantic_search(index, rare, queries, genre="rare", limit=5, find=top)
+    inside = search.semantic_search(search.with_attributes(index, rare), rare, queries, genre="rare", limit=5, find=top)
+    assert found(inside) == found(pre)
     assert pre.count() == 10 and post.count() <= 10
     assert set(found(post)) <= set(found(pre))
     bounded = search.semantic_search(index, movies, queries, max_runtime=90, genre="drama", limit=50)
@@ -165,3 +171,89 @@ def test_title_requests_in_blocks(spark, monkeypatch):
     best = {r["request_id"]: r for r in search.compare_movies(movies, asks).collect()}
     assert best["a"]["movie_id"] == 2 and best["a"]["overview"] is None
     assert best["c"]["overview"] == "x" * 300 + "..." and best["d"]["movie_id"] is None
+
+
+def test_no_exchange_of_vectors_when_the_index_has_the_attributes(spark):
+    movies = V.movies(spark, SF)
+    index = search.with_attributes(V.vectors(spark, SF), movies)
+    path = scratch_dir(spark, "attributes")
+    index.write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = search.semantic_search(spark.read.parquet(path), movies, V.label_queries(spark, SF), max_runtime=25, genre="economy")
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = plan[plan.index("MapInArrow") :]
+    assert "Join" not in scan.split("Relation")[0] and "embedding_vector" in scan
+
+
+def test_groups_that_have_seen_the_first_candidates_get_further_ones(spark):
+    rng = np.random.default_rng(9)
+    index, movies, queries = frame(spark, rng.normal(size=(60, 4))), catalogue(spark, 60), asked(spark, rng.normal(size=(2, 4)))
+    groups = spark.createDataFrame([(g, g % 2) for g in range(5)], "group_id int, query_id int")
+    order = {q: [m for (i, m), _ in sorted(brute(index_vectors(index), vectors_of(queries), 60).items(), key=lambda x: (-x[1], x[0][1])) if i == q] for q in (0, 1)}
+    seen = [(0, m) for m in order[0][:20]] + [(1, m) for m in order[1][:57]] + [(2, m) for m in order[0]]
+    seen = spark.createDataFrame(seen, "group_id int, movie_id bigint")
+    none = spark.createDataFrame([], "group_id int, movie_id bigint")
+    rows = search.recommend_for_groups(groups, index, movies, queries, seen, none, candidates=5, picks=4, find=top).collect()
+    got = {g: [r["movie_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["group_id"] == g] for g in range(5)}
+    assert got == {0: order[0][20:24], 1: order[1][57:], 2: [], 3: order[1][:4], 4: order[0][:4]}
+
+
+def index_vectors(index):
+    return [r["embedding_vector"] for r in index.orderBy("movie_id").collect()]
+
+
+def vectors_of(queries):
+    return [r["query_vector"] for r in queries.orderBy("query_id").collect()]
+
+
+def test_an_empty_batch_of_queries_has_no_hits(spark):
+    index, movies, none = frame(spark, [[1, 0], [0, 1]]), catalogue(spark, 2), asked(spark, [[1, 0]]).limit(0)
+    empty = spark.createDataFrame([], "group_id int, movie_id bigint")
+    groups = spark.createDataFrame([(1, 0)], "group_id int, query_id int")
+    for mode in ("prefilter", "postfilter"):
+        assert search.semantic_search(index, movies, none, mode=mode).count() == 0
+    assert search.browse_semantic(index, movies, none).count() == 0
+    assert search.recommend_for_groups(groups, index, movies, none, empty, empty, candidates=4, picks=2).count() == 0
+    model_free = np.array([[1.0, 0.0]])
+    assert knn.knn_cells(index.withColumn("cell", F.lit(0)), model_free, none, 3, nprobe=1).count() == 0
+
+
+def test_backslash_in_a_needle_is_a_character(spark):
+    movies = spark.createDataFrame(
+        [(1, "a\\b", None, 5.0, 9, "x"), (2, "ab", None, 4.0, 9, "y"), (3, "50%\\", None, 3.0, 9, "z")],
+        "movie_id bigint, title string, original_title string, vote_average double, vote_count bigint, overview string",
+    )
+    asks = spark.createDataFrame([("p", "a\\b"), ("q", "%\\"), ("r", "ab"), ("s", "\\c")], "request_id string, needle string")
+    got = sorted((r["request_id"], r["movie_id"]) for r in search.movie_details(movies, asks).collect())
+    assert got == [("p", 1), ("q", 1), ("q", 3), ("r", 2)]
+    assert {r["movie_id"] for r in search.browse_titles(movies, "a\\b").collect()} == {1}
+
+
+def test_repeated_ids_are_refused(spark, monkeypatch):
+    movies = spark.createDataFrame([(1, "a", None, 5.0, "x")], "movie_id bigint, title string, original_title string, vote_average double, overview string")
+    asks = spark.createDataFrame([("p", "a")] * 5, "request_id string, needle string")
+    monkeypatch.setattr(search, "BLOCK_REQUESTS", 2)
+    with pytest.raises(ValueError, match="unique"):
+        search.movie_details(movies, asks)
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 2)
+    same = asked(spark, [[1, 0]] * 5).withColumn("query_id", F.lit(1))
+    with pytest.raises(ValueError, match="unique"):
+        knn.knn(frame(spark, [[1, 0]]), same, 1)
+
+
+def test_upkeep_of_the_best_rows():
+    import time
+
+    rng = np.random.default_rng(2)
+    rows, queries, k = rng.normal(size=(2000, 64)), rng.normal(size=(1024, 64)), 200
+    start = time.perf_counter()
+    sims = rows @ queries.T
+    best = knn._Best(k, len(queries))
+    knn._add_block(best, np.arange(2000), rows, queries, np.arange(len(queries)), None)
+    query, sim, ids = best.rows()
+    assert time.perf_counter() - start < 5
+    for q in (0, 500, 1023):
+        assert set(ids[query == q].tolist()) == set(np.argsort(-sims[:, q])[:k].tolist())
