@@ -53,17 +53,27 @@ def group_history(
     The rows of one group, read in order, are the three lists of its history document.
     """
 
+    own = ["status", "score", "comment", "reason"]
+
     def part(df: DataFrame, kind: str, at: str, row_id: str) -> DataFrame:
-        record = row_json(*[c for c in df.columns if c not in ("group_id", row_id)])
-        return df.select(
-            "group_id", F.lit(kind).alias("kind"), F.col(at).alias("at"), F.col(row_id).alias("fact_id"), record.alias("record")
+        wanted = df if group_id is None else df.filter(F.col("group_id") == group_id)
+        rest = [F.col(c) if c in df.columns else F.lit(None).cast("int" if c == "score" else "string").alias(c) for c in own]
+        return wanted.select(
+            "group_id", F.lit(kind).alias("kind"), F.col(at).alias("at"), F.col(row_id).alias("fact_id"), "movie_id", *rest
         )
 
-    both = part(watchlist(items, movies, group_id, ordered=False), "watchlist", "added_at", "item_id")
-    both = both.unionByName(part(ratings(rated, movies, group_id, ordered=False), "rating", "rated_at", "rating_id"))
-    both = both.unionByName(
-        part(recommendations(recs, movies, group_id, ordered=False), "recommendation", "recommended_at", "rec_id")
+    # The facts come together first, so that the catalogue is joined once.
+    facts = part(items, "watchlist", "added_at", "item_id")
+    facts = facts.unionByName(part(rated, "rating", "rated_at", "rating_id"))
+    facts = facts.unionByName(part(recs, "recommendation", "recommended_at", "rec_id"))
+    titled = facts.join(movies.select("movie_id", "title", F.col("vote_average").alias("tmdb_score"), "runtime", "genres"), "movie_id", "left")
+    at = F.col("at").alias
+    record = (
+        F.when(F.col("kind") == "watchlist", row_json("movie_id", "title", "status", at("added_at"), "tmdb_score", "runtime", "genres"))
+        .when(F.col("kind") == "rating", row_json("movie_id", "title", "score", "comment", at("rated_at")))
+        .otherwise(row_json("movie_id", "title", "reason", at("recommended_at")))
     )
+    both = titled.select("group_id", "kind", "at", "fact_id", record.alias("record"))
     return both.orderBy("group_id", "kind", F.col("at").desc_nulls_last(), F.col("fact_id").desc())
 
 
