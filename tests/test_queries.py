@@ -3,13 +3,29 @@
 import pytest
 from check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import oracle_sql as all_sql
+from __spark_entry__ import queries as all_queries
+from marquee.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # No SQL: the rows depend on trained cells. Covered in test_vectors.py against exact search.
 NO_SQL = {"knn_ann", "knn_recall", "recommend_for_groups_ann"}
 
 
+def queries():
+    return dict(QUERIES)
+
+
+def oracle_sql():
+    return dict(ORACLES)
+
+
+def test_the_driver_sees_all_of_them():
+    assert set(QUERIES) <= set(all_queries()) and set(ORACLES) <= set(all_sql())
+    assert set(all_sql()) <= set(all_queries())
+
+
 def test_every_query_but_the_approximate_ones_has_sql():
     assert set(queries()) - set(oracle_sql()) == NO_SQL
 
