@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from marquee.operators import ann, knn, search
@@ -82,10 +83,42 @@ def ann_index_sync(spark, sf):
     return spark.read.parquet(path).select("movie_id", "label", first.alias("first"))
 
 
-@query("knn_ann")
+# Cells around the rounded mean of each label's unit vectors, so that cells, probes and hits can be told in SQL.
+_PROBES = 3
+_CELLS = """units AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE)
+         / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS FLOAT)) AS u FROM embeddings),
+cells AS (
+  SELECT row_number() OVER (ORDER BY label) AS cell, list(m ORDER BY i) AS c
+  FROM (SELECT label, i, round(avg(CAST(x AS DOUBLE)), 4) AS m
+        FROM (SELECT label, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM units) GROUP BY ALL) GROUP BY label),
+placed AS (
+  SELECT vec_id, arg_min(cell, list_inner_product(c, c) - 2 * list_inner_product(CAST(u AS DOUBLE[]), c)) AS cell
+  FROM units CROSS JOIN cells GROUP BY vec_id),
+probes AS (
+  SELECT query_id, cell FROM queries CROSS JOIN cells QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY list_inner_product(c, c)
+    - 2 * list_inner_product(CAST(query_vector AS DOUBLE[]), c) / sqrt(list_inner_product(CAST(query_vector AS DOUBLE[]), CAST(query_vector AS DOUBLE[])))) <= 3),
+near AS (
+  SELECT sims.*, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, movie_id) AS rank
+  FROM sims JOIN placed ON placed.vec_id = movie_id JOIN probes USING (query_id, cell))"""
+
+
+def _label_cells(spark, sf):
+    vectors = V.vectors(spark, sf)
+    places = vectors.select("label", F.posexplode(ann.unit("embedding_vector")).alias("i", "x"))
+    means = places.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 4).alias("m"))
+    # One number for each label and dimension.
+    rows = sorted((r["label"], r["i"], r["m"]) for r in means.collect())
+    centres = np.array([m for _, _, m in rows]).reshape(-1, _DIM)
+    path = scratch_dir(spark, "index")
+    ann.build_index(vectors, path, _DIM, given=centres)
+    return spark.read.parquet(path), centres
+
+
+@query("knn_ann", with_views(_TOP10.replace("hits", "near"), V.LABEL_QUERIES, V.HITS, _CELLS))
 def knn_ann(spark, sf):
-    path, model = built_index(spark, sf)
-    return _knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=6)
+    index, centres = _label_cells(spark, sf)
+    return _knn_cells(index, centres, V.label_queries(spark, sf), 10, nprobe=_PROBES)
 
 
 @query("knn_ann_all_cells", with_views(_TOP10, V.LABEL_QUERIES, V.HITS))
@@ -95,7 +128,17 @@ def knn_ann_all_cells(spark, sf):
     return _knn_cells(spark.read.parquet(path), ann.centroids(model), V.label_queries(spark, sf), 10, nprobe=16)
 
 
-@query("knn_recall")
+@query(
+    "knn_recall",
+    with_views(
+        """SELECT h.query_id, count(n.movie_id) / count(*) AS recall FROM hits h
+           LEFT JOIN (SELECT * FROM near WHERE rank <= 10) n ON n.query_id = h.query_id AND n.movie_id = h.movie_id
+           WHERE h.rank <= 10 GROUP BY h.query_id""",
+        V.LABEL_QUERIES,
+        V.HITS,
+        _CELLS,
+    ),
+)
 def knn_recall(spark, sf):
     return knn.recall(knn_ann(spark, sf), knn_exact(spark, sf))
 
@@ -251,35 +294,35 @@ def _recommend(spark, sf, find):
     ).select("group_id", "movie_id", "title", "similarity", "rank")
 
 
-@query(
-    "recommend_for_groups",
-    with_views(
+def _recommended(hits, *more):
+    return with_views(
         """SELECT group_id, movie_id, title, similarity, CAST(pick AS INTEGER) AS rank FROM (
            SELECT group_id, movie_id, title, similarity,
              row_number() OVER (PARTITION BY group_id ORDER BY similarity DESC, movie_id) AS pick
-           FROM taste JOIN sims USING (query_id) JOIN movies USING (movie_id)
+           FROM taste JOIN {hits} USING (query_id) JOIN movies USING (movie_id)
            WHERE NOT EXISTS (SELECT 1 FROM watchlist w WHERE w.group_id = taste.group_id AND w.movie_id = movies.movie_id)
              AND NOT EXISTS (SELECT 1 FROM recommendations s WHERE s.group_id = taste.group_id AND s.movie_id = movies.movie_id))
-           WHERE pick <= 3""",
+           WHERE pick <= 3""".format(hits=hits),
         V.MOVIES,
         V.WATCHLIST,
         V.RECOMMENDATIONS,
         V.LABEL_QUERIES,
         V.HITS,
         _TASTE,
-    ),
-)
+        *more,
+    )
+
+
+@query("recommend_for_groups", _recommended("sims"))
 def recommend_for_groups(spark, sf):
     return _recommend(spark, sf, _knn)
 
 
-@query("recommend_for_groups_ann")
+@query("recommend_for_groups_ann", _recommended("near", _CELLS))
 def recommend_for_groups_ann(spark, sf):
-    path, model = built_index(spark, sf)
-    index = spark.read.parquet(path)
-    cells = partial(_cells, index, ann.centroids(model))
-    return _recommend(spark, sf, cells)
+    index, centres = _label_cells(spark, sf)
+    return _recommend(spark, sf, partial(_cells, index, centres))
 
 
 def _cells(index, centres, _, queries, k):
-    return _knn_cells(index, centres, queries, k, nprobe=6)
+    return _knn_cells(index, centres, queries, k, nprobe=_PROBES)

@@ -9,10 +9,6 @@ from __spark_entry__ import queries as all_queries
 from marquee.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-# No SQL: the rows depend on trained cells. Covered in test_vectors.py against exact search.
-NO_SQL = {"knn_ann", "knn_recall", "recommend_for_groups_ann"}
-
-
 def queries():
     return dict(QUERIES)
 
@@ -26,8 +22,8 @@ def test_the_driver_sees_all_of_them():
     assert set(all_sql()) <= set(all_queries())
 
 
-def test_every_query_but_the_approximate_ones_has_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(queries()))
