@@ -21,13 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import doc_columns, shingles, starts_of, texts_of
+from marquee.llm.common import doc_columns, shingles, slices, starts_of, texts_of
 
 WINDOW = 5
 LEAST = 3
 #: Characters of benchmark text that are held in one task; a larger benchmark takes several passes over the documents.
 BLOCK_CHARS = 20_000_000
-TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?…\n]")
+#: Numbers, words (with what is not ASCII), ends of sentences.
+TOKEN = re.compile(rb"[0-9]+(?:[.,:/][0-9]+)*|(?:[A-Za-z\x80-\xff]|(?<=[a-z])'(?=[a-z]))+|[.!?\n]")
+#: Tokens of documents that are hashed at once.
+CHUNK = 100_000
 
 # Words that are units when they follow a number.
 UNITS = frozenset(
@@ -47,26 +50,31 @@ SLOT = {k: np.uint64((xxhash.xxh3_64_intdigest(n) & ~7) | WORD) for k, n in ((NU
 class Codes(dict):
     """64-bit code of a token: a hash of its lower-case form with the kind in the lowest three bits."""
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > 60_000:
             self.clear()
-        low = token.lower()
-        if token in ".!?…\n":
+        text = token.decode("utf-8", "replace")
+        word = text if text.isalnum() else re.sub(r"^[\W_]+|[\W_]+$", "", text)
+        low = word.lower()
+        if not word:
             kind = MARK
-        elif token[0].isdigit():
+        elif word[0].isdigit():
             kind = NUMBER
         elif low in UNITS:
             kind = UNIT
         else:
-            kind = CAPITAL if token[0].isupper() and len(token) > 1 and not token.isupper() else WORD
+            kind = CAPITAL if word[0].isupper() and len(word) > 1 and not word.isupper() else WORD
         code = self[token] = (xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) & ~7) | kind
         return code
 
 
-def canonical(text: str, memo: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template codes, slot kinds (0 for plain words) and the tokens' own codes, without the marks between sentences."""
-    tokens = TOKEN.findall(text)
-    codes = np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
+def codes_of(text: str, memo: Codes) -> np.ndarray:
+    tokens = TOKEN.findall(text.encode("utf-8", "surrogatepass"))
+    return np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
+
+
+def canonical(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template codes, slot kinds (0 for plain words) and the tokens' own codes, without the marks between sentences; which tokens were kept."""
     kinds = (codes & KIND).astype(np.int8)
     before = np.concatenate([[MARK], kinds[:-1]]) if len(kinds) else kinds
     slots = np.zeros(len(kinds), np.int8)
@@ -78,7 +86,7 @@ def canonical(text: str, memo: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for kind, code in SLOT.items():
         template[slots == kind] = code
     keep = kinds != MARK
-    return template[keep], slots[keep], own[keep]
+    return template[keep], slots[keep], own[keep], keep
 
 
 class Items:
@@ -87,7 +95,7 @@ class Items:
     def __init__(self, items: list[tuple[int | None, str]]):
         memo = Codes()
         self.ids = [i for i, _ in items]
-        self.forms = [canonical(t or "", memo) for _, t in items]
+        self.forms = [canonical(codes_of(t or "", memo))[:3] for _, t in items]
         hashes, places = [], []
         for n, (template, _, _) in enumerate(self.forms):
             if len(template) >= LEAST:
@@ -113,9 +121,30 @@ class Items:
         return at, rows
 
 
+def suspects(texts: list[str], items: Items, memo: Codes) -> list[int]:
+    """The texts that share a window with an item; many texts are hashed as one, with the end of a sentence between them."""
+    out: set[int] = set()
+    end = np.array([memo[b"\n"]], np.uint64)
+    held: list[np.ndarray] = []
+    first = size = 0
+    for i, text in enumerate(texts):
+        held += [codes_of(text, memo), end]
+        size += len(held[-2])
+        if size < CHUNK and i + 1 < len(texts):
+            continue
+        template, _, _, keep = canonical(np.concatenate(held))
+        owner = np.repeat(np.arange(first, i + 1), [len(held[j]) + 1 for j in range(0, len(held), 2)])[keep]
+        for width in [WINDOW, *items.short]:
+            at, _ = items.hits(shingles(template, width)) if len(template) >= width else (np.empty(0, np.int64), None)
+            out.update(owner[at[owner[at] == owner[np.minimum(at + width - 1, len(owner) - 1)]]].tolist())
+        held.clear()
+        first, size = i + 1, 0
+    return sorted(out)
+
+
 def matches(text: str, items: Items, memo: Codes, threshold: float) -> list[tuple]:
     """(item_id, item_tokens, share, n_slots, consistency, verbatim) of the items that a text holds."""
-    template, slots, own = canonical(text, memo)
+    template, _, own, _ = canonical(codes_of(text, memo))
     found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     for width in [WINDOW, *items.short]:
         if len(template) < width:
@@ -145,9 +174,11 @@ def matches(text: str, items: Items, memo: Codes, threshold: float) -> list[tupl
             value = int(values[q]) if int(values[q]) in seen else min(seen, key=lambda v, s=seen: (-s[v], v))
             mapped[int(values[q])][value] += 1
             same += value == int(values[q])
-        total = sum(sum(c.values()) for c in mapped.values())
-        agree = sum(max(c.values()) for c in mapped.values()) / total if total else 1.0
-        out.append((items.ids[n], len(form), share, total, agree, same == total))
+        # A value that stands in one slot agrees with itself; only those in several can disagree.
+        several = [c for c in mapped.values() if sum(c.values()) > 1]
+        total = sum(sum(c.values()) for c in several)
+        agree = sum(max(c.values()) for c in several) / total if total else 1.0
+        out.append((items.ids[n], len(form), share, len(pairs), agree, same == len(pairs)))
     return out
 
 
@@ -172,12 +203,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
 
         def run(batches, shared=shared):
             items, memo = Items(shared.value), Codes()
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole)):
+                doc_ids, texts = batch.column(0).to_pylist(), texts_of(batch)
                 found = [
-                    (doc_id, *m)
-                    for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True)
-                    for m in matches(text, items, memo, threshold)
-                    if m[4] >= consistency
+                    (doc_ids[i], *m) for i in suspects(texts, items, memo) for m in matches(texts[i], items, memo, threshold) if m[4] >= consistency
                 ]
                 columns = list(zip(*found, strict=True)) if found else [()] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[p.split()[0] for p in schema.split(", ")])
