@@ -42,7 +42,7 @@ def test_copies_of_an_article_stay(spark):
 
 @pytest.mark.parametrize(
     ("html", "text"),
-    [(None, ""), ("", ""), ("plain &amp words", "plain & words"), ("<p>cut <a hre", "cut"), ("<p>a<script>x", "a"), ("a < b <p>c", "a < b c"), ("<nav>menu<article>x y</article>", "x y"), ("<p title='a>b'>t</p>", "t"), ("<ul><li>a<li>b</ul>", "a b")],
+    [(None, ""), ("", ""), ("plain &amp words", "plain & words"), ("<p>cut <a hre", "cut"), ("<p>a<script>x", "a"), ("a < b <p>c", "a < b c"), ("<nav>menu<article>x y</article>", "x y"), ("<p title='a>b'>t</p>", "t"), ("<ul><li>a<li>b</ul>", "a b"), ("<div class='page with-sidebar'><main class='no-header'>t</main></div>", "t"), ("<main>t<article class='comment'>c</article></main>", "t")],
 )
 def test_odd_markup(spark, html, text):
     assert texts(spark, [(1, None, html)])[1]["text"] == text

@@ -27,14 +27,14 @@ def test_planted_passage_stays_once(make):
     rows = [
         (3, bodies[0] + "\n" + passage + "\n" + bodies[1]),
         (5, bodies[2] + " lower " + passage + " lower " + bodies[3]),
-        (9, passage + " and " + passage),
+        (9, passage + " " + bodies[6] + " " + passage),
         (11, bodies[4] + " " + small),
         (12, small + "\n" + bodies[5]),
     ]
     got = ours(make(rows))
     assert got[3]["text"] == rows[0][1] and got[3]["n_removed"] == 0
     assert got[5]["text"] == bodies[2] + " lower lower " + bodies[3] and got[5]["repeats_of"] == [3]
-    assert got[9]["text"] == "and"
+    assert got[9]["text"] == bodies[6]
     assert got[9]["n_removed"] == 2 * len(passage.split())
     for d, t in rows[3:]:
         assert got[d]["text"] == t and got[d]["n_removed"] == 0
