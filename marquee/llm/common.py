@@ -26,7 +26,7 @@ def partitions(df: DataFrame) -> int:
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered; forgets everything beyond ``bound`` words so that memory stays bounded."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 60_000):
         super().__init__()
         self.bound = bound
 
@@ -98,6 +98,11 @@ def arrow_schema(schema) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that a task holds few texts as Python objects at a time."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
