@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,23 +93,24 @@ def _ranged(docs: DataFrame) -> DataFrame:
     """
     n = partitions(docs)
     rows = docs.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
-    cuts = sorted(set(rows.stat.approxQuantile("key", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    at = F.lit(0)
-    for c in cuts:
-        at = at + (F.col("key") < F.lit(int(c))).cast("int")
-    rows = rows.withColumn("range", at if cuts else F.lit(0))
-    tops = {r["range"]: r["top"] for r in rows.groupBy("range").agg(F.max("key").alias("top")).collect()}
+    cuts = np.unique(np.array(rows.stat.approxQuantile("key", [i / n for i in range(1, n)], 0.2 / n), np.int64)) if n > 1 else np.empty(0, np.int64)
+
+    # Looked up in a sorted array: only the key goes to Python, and the plan does not grow with the number of ranges.
+    @F.pandas_udf("int")
+    def range_of(key: pd.Series) -> pd.Series:
+        return pd.Series(len(cuts) - np.searchsorted(cuts, key.to_numpy(np.int64), side="right"))
+
+    tops = {r["range"]: r["top"] for r in rows.groupBy(range_of("key").alias("range")).agg(F.max("key").alias("top")).collect()}
     order = sorted(tops)
-    hosts = [(r, tops[r], order[i - 1]) for i, r in enumerate(order)]
-    guest_of = F.create_map(*(F.lit(x) for r, _, host in hosts for x in (r, host))) if hosts else None
-    top_of = F.create_map(*(F.lit(x) for r, top, _ in hosts for x in (r, top))) if hosts else None
-    own = F.struct(F.col("range").alias("range"), F.lit(0).alias("guest"))
-    if not hosts:
-        return rows.withColumn("guest", F.lit(0))
-    there = F.struct(F.element_at(guest_of, F.col("range")).alias("range"), F.lit(1).alias("guest"))
-    both = F.when(F.col("key") == F.element_at(top_of, F.col("range")), F.array(own, there)).otherwise(F.array(own))
-    out = rows.withColumn("places", F.explode(both)).select("doc_id", "text", "key", "places.range", "places.guest")
-    return out.repartitionById(max(order) + 1, F.col("range"))
+    hosts = {tops[r]: order[i - 1] for i, r in enumerate(order)}  # largest id of a range: the range before
+
+    @F.pandas_udf("array<int>")
+    def places_of(key: pd.Series) -> pd.Series:
+        own = len(cuts) - np.searchsorted(cuts, key.to_numpy(np.int64), side="right")
+        return pd.Series([[r] if k not in hosts else [r, hosts[k]] for k, r in zip(key.tolist(), own.tolist(), strict=True)])
+
+    out = rows.select("doc_id", "text", "key", F.posexplode(places_of("key")).alias("guest", "range"))
+    return out.repartitionById(max(order, default=0) + 1, F.col("range"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
