@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marquee.session import staged
+
 #: Turns summed in one window before blocks are put together, so that no task holds a long conversation.
 BLOCK = 1024
 PARTS = 4
@@ -39,31 +41,31 @@ def _with_base(rows: DataFrame, sums: list) -> DataFrame:
     return rows.join(per, rows["conv_id"].eqNullSafe(per["c_"]) & (rows["block"] == per["bl_"])).drop("c_", "bl_")
 
 
-def prefixes(turns: DataFrame) -> DataFrame:
-    """conv_id, k, role, text and the 128-bit rolling hash of the first ``k`` turns as four running sums of 32-bit parts.
+def prefixes(numbered: DataFrame) -> DataFrame:
+    """conv_id, k and the 128-bit rolling hash of the first ``k`` turns as four running sums of 32-bit parts.
 
-    The hash of a turn is salted by its place, so a sum of them stands for the sequence.
+    The hash of a turn is salted by its place, so a sum of them stands for the sequence. Texts are hashed where they are read.
     """
-    rows = _numbered(turns)
     h = [F.xxhash64(F.lit(s), "k", "role", "text") for s in (1, 2)]
-    halves = {"h0": h[0].bitwiseAND(0xFFFFFFFF), "h1": F.shiftrightunsigned(h[0], 32), "h2": h[1].bitwiseAND(0xFFFFFFFF), "h3": F.shiftrightunsigned(h[1], 32)}
-    rows = rows.withColumns(halves)
+    halves = [h[0].bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h[0], 32), h[1].bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h[1], 32)]
+    rows = numbered.select("conv_id", "block", "k", *(x.alias(f"h{i}") for i, x in enumerate(halves)))
     running = W.partitionBy("conv_id", "block").orderBy("k").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumns({f"s{i}": F.sum(f"h{i}").over(running) for i in range(PARTS)})
     rows = _with_base(rows, [F.sum(f"h{i}").alias(f"b_{i}") for i in range(PARTS)])
-    return rows.select("conv_id", "k", "role", "text", F.concat_ws(".", F.col("k"), *(F.col(f"s{i}") + F.col(f"p_{i}") for i in range(PARTS))).alias("prefix"))
+    return rows.select("conv_id", "k", F.concat_ws(".", F.col("k"), *(F.col(f"s{i}") + F.col(f"p_{i}") for i in range(PARTS))).alias("prefix"))
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """The turns (conv_id, k, role, text) of conversations that begin no longer one, one of each set of equals."""
-    rows = prefixes(turns)
+    """The turns (conv_id, k, n, role, text) of conversations that begin no longer one, one of each set of equals."""
+    numbered = staged(_numbered(turns), "turns")
+    rows = staged(prefixes(numbered), "prefixes")
     last = rows.groupBy("conv_id").agg(F.max_by("prefix", "k").alias("prefix"), F.max("k").alias("n"))
     # Prefixes are counted before they meet: a first turn shared by many conversations is one row for each task.
     longest = rows.join(last.select(F.col("conv_id").alias("c_"), "n"), F.col("conv_id").eqNullSafe(F.col("c_"))).groupBy("prefix").agg(F.max("n").alias("longest"))
     kept = last.groupBy("prefix", "n").agg(F.min("conv_id").alias("conv_id"))
     kept = kept.join(longest.withColumnRenamed("prefix", "p_"), (F.col("prefix") == F.col("p_")) & (F.col("longest") > F.col("n")), "left_anti")
     kept = kept.select(F.col("conv_id").alias("c_"), "n")
-    return rows.join(kept, F.col("conv_id").eqNullSafe(F.col("c_"))).select("conv_id", "k", "n", "role", "text")
+    return numbered.join(kept, F.col("conv_id").eqNullSafe(F.col("c_"))).select("conv_id", "k", "n", "role", "text")
 
 
 def render(turns: DataFrame) -> DataFrame:
