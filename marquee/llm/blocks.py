@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marquee.llm.common import partitions
 from marquee.session import staged
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 #: Bucket and low bits name a key in counting; two keys of one name are counted as one, which callers must bear.
 BITS = np.uint64(40)
 LOW = np.uint64((1 << 40) - 1)

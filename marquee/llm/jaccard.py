@@ -64,17 +64,18 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
     candidates: ``prefix`` (its shingles that other documents share, by rank) and ``tokens``."""
     blocks = in_blocks(doc_columns(docs), label="jaccard")
     n_buckets = buckets(blocks)
+    memo = WordHashes(60_000)  # filled by each task for itself
 
     def keys_of(rows: pa.Table):
         seen = set()
-        for tokens in _sets(rows, k, WordHashes()):
+        for tokens in _sets(rows, k, memo):
             sid = _signature(tokens)
             if sid not in seen:
                 seen.add(sid)
                 yield _counted(tokens, percent)
 
     def look_up(block: int, rows: pa.Table, names: np.ndarray, counts: np.ndarray) -> dict:
-        sets = _sets(rows, k, WordHashes())
+        sets = _sets(rows, k, memo)
         out: dict = {"doc_id": rows.column("doc_id"), "n": [len(s) for s in sets], "sid": [], "prefix": [], "tokens": []}
         sids = [_signature(s) if len(s) else None for s in sets]
         done = set()

@@ -37,7 +37,10 @@ SHINGLE = 5
 #: A unit longer than this is cut at words whose hash is a multiple of eight.
 LONG_UNIT = 40
 CAPITAL, STOP = 1, 2
+CLOSING, SENTENCE_ENDS = b"\"')]}", (b".", b"!", b"?", "…".encode())
 BASE = np.uint64(0x9E3779B97F4A7C15)
+_RANDOM = np.random.default_rng(5).integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
+FLIPS, MULTIPLIERS = _RANDOM[0], _RANDOM[1] | np.uint64(1)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -45,11 +48,12 @@ class WordCodes(dict):
     """64-bit code of a word: a hash of its lower-case form, with two bits that say how it is written."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 60_000:
             self.clear()
-        text = word.decode("utf-8", "surrogatepass")
-        flags = CAPITAL * text[0].isupper() | STOP * text.rstrip("\"')]}»”’").endswith((".", "!", "?", "…"))
-        code = self[word] = (xxhash.xxh3_64_intdigest(word.lower()) & ~3) | flags
+        first = word[0]
+        capital = 65 <= first <= 90 or (first >= 0x80 and word.decode("utf-8", "surrogatepass")[0].isupper())
+        stop = word.rstrip(CLOSING).endswith(SENTENCE_ENDS)
+        code = self[word] = (xxhash.xxh3_64_intdigest(word.lower()) & ~3) | CAPITAL * capital | STOP * stop
         return code
 
 
@@ -107,28 +111,31 @@ def _runs(codes: np.ndarray, lines: np.ndarray, powers: Powers, min_words: int)
 
 def _lines(codes: list[np.ndarray], lines: list[np.ndarray], min_words: int):
     """Of all documents of a block the lines of ``min_words`` words: document, begin, end, band keys, and their shingles."""
-    doc, begin, end, sets = [], [], [], []
-    for i, (c, at) in enumerate(zip(codes, lines, strict=True)):
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if b - a >= min_words:
-                doc.append(i)
-                begin.append(a)
-                end.append(b)
-                sets.append(shingles(c[a:b] & ~np.uint64(3), SHINGLE))
-    keys = np.zeros((len(sets), BANDS), np.uint64)
-    if sets:
-        starts, all_ = starts_of(np.array([len(s) for s in sets]))[:-1], np.concatenate(sets)
-        for band in range(BANDS):
-            key = np.full(len(sets), band + 1, np.uint64)
-            for row in range(ROWS):
-                odd = np.uint64((int(BASE) * (2 * (band * ROWS + row) + 3) | 1) & (2**64 - 1))
-                key = mixed(key * BASE + np.minimum.reduceat(mixed(all_ * odd), starts))
-            keys[:, band] = key
-    return np.array(doc, np.int64), begin, end, keys, sets
-
-
-def _block(rows: pa.Table, min_words: int):
-    memo, powers = WordCodes(), Powers()
+    sizes = np.array([len(at) - 1 for at in lines], np.int64)
+    doc = np.repeat(np.arange(len(lines)), sizes)
+    begin = np.concatenate([at[:-1] for at in lines]) if len(lines) else np.empty(0, np.int64)
+    end = np.concatenate([at[1:] for at in lines]) if len(lines) else np.empty(0, np.int64)
+    wide = end - begin >= max(min_words, SHINGLE)
+    doc, begin, end = doc[wide], begin[wide], end[wide]
+    keys = np.zeros((len(doc), BANDS), np.uint64)
+    if not len(doc):
+        return doc, begin, end, keys, []
+    # Shingles of the whole block at once; those that cross the end of a line are in no line's slice.
+    place = starts_of(np.array([len(c) for c in codes], np.int64))[doc]
+    every = shingles(np.concatenate(codes) & ~np.uint64(3), SHINGLE)
+    sets = [every[a:b] for a, b in zip((place + begin).tolist(), (place + end - SHINGLE + 1).tolist(), strict=True)]
+    starts, all_ = starts_of(end - begin - SHINGLE + 1)[:-1], np.concatenate(sets)
+    for band in range(BANDS):
+        key = np.full(len(doc), band + 1, np.uint64)
+        for row in range(ROWS):
+            k = band * ROWS + row
+            key = mixed(key * BASE + np.minimum.reduceat((all_ ^ FLIPS[k]) * MULTIPLIERS[k], starts))
+        keys[:, band] = key
+    return doc, begin, end, keys, sets
+
+
+def _block(rows: pa.Table, min_words: int, memo: WordCodes):
+    powers = Powers()
     pairs = [_codes(t, memo) for t in rows.column("text").to_pylist()]
     runs = [_runs(c, at, powers, min_words) for c, at in pairs]
     return runs, _lines([c for c, _ in pairs], [at for _, at in pairs], min_words)
@@ -138,15 +145,16 @@ def _repeated(blocks: DataFrame, min_words: int) -> DataFrame:
     """The paragraphs that may stand in several documents: block, rid, doc_id, begin, end, run (hash, or NULL for a line), and for lines
     sid (names the shingle set), n, prefix (band keys seen again), tokens."""
     n_buckets = buckets(blocks)
+    memo = WordCodes()  # filled by each task for itself
 
     def keys_of(rows: pa.Table):
-        runs, (doc, _, _, keys, _) = _block(rows, min_words)
+        runs, (doc, _, _, keys, _) = _block(rows, min_words, memo)
         lo, hi = np.searchsorted(doc, np.arange(len(runs))), np.searchsorted(doc, np.arange(len(runs)), side="right")
         for i, (_, _, h) in enumerate(runs):
             yield np.unique(np.concatenate([h, keys[lo[i] : hi[i]].ravel()]))
 
     def look_up(block: int, rows: pa.Table, names: np.ndarray, counts: np.ndarray) -> dict:
-        runs, (doc, begin, end, keys, sets) = _block(rows, min_words)
+        runs, (doc, begin, end, keys, sets) = _block(rows, min_words, memo)
         out: dict = {k: [] for k in ("block", "rid", "doc_id", "begin", "end", "run", "sid", "n", "prefix", "tokens")}
         rid, doc_id = rows.column("rid").to_pylist(), rows.column("doc_id").to_pylist()
 
@@ -161,7 +169,7 @@ def _repeated(blocks: DataFrame, min_words: int) -> DataFrame:
         again = counts_of(keys.ravel(), names, counts, n_buckets).reshape(keys.shape) >= 2
         for j in np.flatnonzero(again.any(axis=1)).tolist():
             tokens = np.unique(sets[j])
-            add(int(doc[j]), begin[j], end[j], None, xxhash.xxh3_128_hexdigest(tokens.tobytes()), len(tokens), keys[j][again[j]].view(np.int64), tokens.astype("<u8").tobytes())
+            add(int(doc[j]), int(begin[j]), int(end[j]), None, xxhash.xxh3_128_hexdigest(tokens.tobytes()), len(tokens), keys[j][again[j]].view(np.int64), tokens.astype("<u8").tobytes())
         return out
 
     schema = "block long, rid long, doc_id long, begin long, end long, run long, sid string, n long, prefix array<long>, tokens binary"

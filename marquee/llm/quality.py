@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WordHashes, doc_columns, starts_of, texts_of
+from marquee.llm.common import WordHashes, doc_columns, slices, starts_of, texts_of
 
 TOKENS = 1 << 15
 DIM = 32
 SEED = 11
 #: Tokens worked on at once: some tens of MB.
-CHUNK = 200_000
+CHUNK = 100_000
 SLICES = 32
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 CAPS = "\x00caps"
@@ -52,7 +52,7 @@ class Slots(dict):
         self.hashes = WordHashes(1)
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 60_000:
             self.clear()
         s = self[token] = self.hashes[token.lower().encode("utf-8", "surrogatepass")] % TOKENS
         return s
@@ -86,7 +86,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         index, memo = _index_vectors(), Slots()
         total = np.zeros((TOKENS, DIM), np.float64)
         edge = np.full(2, TOKENS, np.int32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             arrays = [_slots(t, memo) for t in texts_of(batch)]
             for lo, hi in _chunks(arrays):
                 ids = np.concatenate([x for a in arrays[lo:hi] for x in (a, edge)] + [edge])
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
 
     def inputs(batches):
         memo = Slots()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             x = pooled(texts_of(batch), shared.value, memo)
             order = [batch.column(0), batch.column(2), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())]
             yield pa.RecordBatch.from_arrays(order, names=["doc_id", "quality", "x"])
@@ -240,7 +240,7 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     def run(batches):
         memo = Slots()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             s = shared.value.scores(pooled(texts_of(batch), shared.value.vectors, memo))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, column])
 
