@@ -65,3 +65,22 @@ def test_columns_stay(spark, make):
     out = remove_repeats(df)
     assert set(df.columns) - {"rid"} <= set(out.columns)
     assert remove_repeats(df.where("doc_id < 0")).count() == 0
+
+
+def test_passages_whatever_surrounds_them(make):
+    """Other line breaks, no capitals or stops, and long lines: every repeated passage goes whole, and nothing else."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    wrapped = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    rows, want = [], {}
+    for i in range(60):
+        passage = [word() for _ in range(rng.choice([50, 51, 55, 60, 80, 200]))]
+        a, b, c, d = ([word() for _ in range(rng.randint(60, 90))] for _ in range(4))
+        first, second = (13, 11) if i % 2 else (10**6, 10**6)
+        rows += [(2 * i, wrapped(a + passage + b, first)), (2 * i + 1, wrapped(c + passage + d, second))]
+        want[2 * i], want[2 * i + 1] = a + passage + b, c + d
+    rows.append((500, wrapped([word() for _ in range(30)] + rows[1][1].split()[:49], 11)))
+    want[500] = rows[-1][1].split()
+    got = ours(make(rows))
+    assert {d: r["text"].split() for d, r in got.items()} == want
+    assert all(got[2 * i + 1]["repeats_of"] == [2 * i] for i in range(60))
