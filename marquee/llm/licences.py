@@ -1,13 +1,13 @@
 """Licence scan by a positional index of rare words.
 
-The words of all licence templates are indexed with their places. For each file the licence words with the highest inverse document
-frequency (counted over all documents) are looked up; each occurrence votes, for every posting of its word, for the place where
-that template would begin. Where the votes agree the template is laid over the file, the weight of the words that stand in
+The words of all licence templates are indexed with their places. Of each template the words with the highest inverse document frequency
+(counted over all documents) are looked up in each file, as many as it takes for the others to weigh less than ``threshold``: no alignment
+that reaches it is without one of them. Wherever one stands the template is laid over the file, the weight of the words that stand in
 their places is measured, and the label counts if that reaches ``threshold`` and all mandatory phrases stand nearby.
 
 Words are runs of characters that are neither ASCII controls, punctuation, nor space, A-Z lower-cased. NULL and empty texts have no words and
 no labels. Rows that repeat a ``doc_id`` are scanned each. Labels without any are the empty string; the score is then the weight of the
-best alignment, 0 without one. Columns beyond ``doc_id`` and ``text`` are ignored.
+best alignment at a looked-up word, times ``threshold``, 0 without one. Columns beyond ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -50,8 +50,6 @@ TEMPLATES = [
 ]
 
 OTHER = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-#: Licence words looked up in a file, rarest first.
-RAREST = 12
 #: Words by which a phrase may lie outside its template, or a template be shifted inside.
 SLACK = 3
 
@@ -120,28 +118,32 @@ def scan(words: list[bytes], index: Index, threshold: float) -> tuple[list[int],
             if i >= rare and words[i - rare : i - rare + len(phrase)] == phrase:
                 base.append(i - rare)
                 base_labels.add(label)
-    rarest = sorted(places, key=lambda w: (-index.idf[w], w))[:RAREST]
-    votes: dict[tuple[int, int], float] = defaultdict(float)
-    for w in rarest:
-        for t, place in index.postings.get(w, ()):
-            for i in places[w]:
-                votes[t, i - place] += index.idf[w]
     labels, best = set(), 0.0
-    for (t, begin), weight in votes.items():
-        label, template, phrases, total = index.templates[t]
-        if label in labels or weight < threshold * total / 2:
-            continue
-        hit = 0.0
-        for place, w in enumerate(template):
-            near = range(begin + place - SLACK, begin + place + SLACK + 1)
-            if any(0 <= i < len(words) and words[i] == w for i in near):
-                hit += index.idf[w]
-        share = min(1.0, hit / total) if total > 0 else 0.0
-        if share >= threshold and all(_has(words, p, begin - SLACK, begin + len(template) + SLACK) for p in phrases):
-            labels.add(label)
-            best = max(best, share)
-        else:
-            best = max(best, share * threshold)
+    for label, template, phrases, total in index.templates:
+        by_weight = sorted(range(len(template)), key=lambda i: (-index.idf[template[i]], i))
+        begins, rest = set(), total
+        for place in by_weight:
+            if rest < threshold * total - 1e-9:
+                break
+            rest -= index.idf[template[place]]
+            for i in places.get(template[place], ()):
+                begins.update(range(i - place - SLACK, i - place + SLACK + 1))
+        for begin in sorted(begins):
+            # The share that changes something: enough for the label, or a better score without it.
+            hit, left, least = 0.0, total, min(threshold, best / threshold if threshold else 0.0) * total
+            for place in by_weight:
+                w = template[place]
+                left -= index.idf[w]
+                if w in places and w in words[max(0, begin + place - SLACK) : max(0, begin + place + SLACK + 1)]:
+                    hit += index.idf[w]
+                elif hit + left < least - 1e-9:
+                    break
+            share = min(1.0, hit / total) if total > 0 else 0.0
+            if share >= threshold and all(_has(words, p, begin - SLACK, begin + len(template) + SLACK) for p in phrases):
+                labels.add(label)
+                best = max(best, share)
+            else:
+                best = max(best, share * threshold)
     return base, base_labels, labels, 1.0 if base else best
 
 

@@ -48,6 +48,21 @@ def test_labels_of_the_method(make):
     assert licences.scan_licences(make(texts).where("doc_id < 0")).count() == 0
 
 
+def test_every_notice_of_a_file_is_found():
+    texts: dict[str, list[str]] = {}
+    for label, text, _ in licences.TEMPLATES:
+        texts.setdefault(label, []).append(text)
+    index = licences.build_index(dict.fromkeys(licences.vocabulary(), 1.0))
+    found = lambda text: licences.scan(licences.licence_words(text), index, 0.8)[2]
+    every = [(label, t) for label, ts in texts.items() for t in ts]
+    assert found(" filler ".join(t for _, t in every)) == set(texts)
+    for i, (a, x) in enumerate(every):
+        for b, y in every[:i]:
+            assert {a, b} <= found(f"{x}. Some more words. {y}."), (a, b)
+    assert {"bsd", "mpl-2", "cc0"} <= found(" and ".join(texts[k][0] for k in ("bsd", "mpl-2", "cc0")))
+    assert found(" ".join(w.decode() for w in licences.vocabulary())) <= {"all-rights-reserved"}
+
+
 ITEM = "On Monday the farmer Ann sold 12 kg of apples to Bob and 30 kg of pears to Carl, then she bought 12 eggs from Bob for the kitchen."
 
 
