@@ -5,7 +5,8 @@ are joined by hash with those of the benchmark. A document holds an item when th
 of the item's tokens and its slots are consistent: one value of the item stands for one value of the document (3 apples and 3
 pears for 5 apples and 5 pears), as in the same question with other parameters.
 
-A name is a capitalised word that does not begin a sentence, a unit a unit word after a number. An item with fewer tokens than a window
+A name is a capitalised word that does not begin a sentence, a unit a unit word after a number. In scripts that put no space between words (Han,
+kana, Thai, Lao, Tibetan, Burmese, Khmer) each character is a token; a number is one token in their digits too. An item with fewer tokens than a window
 is matched as a whole from ``LEAST`` tokens up; shorter ones, NULL and empty texts match nothing. Rows that repeat a document or item are
 compared each. Columns beyond ``doc_id``/``item_id`` and ``text`` are ignored.
 """
@@ -13,6 +14,7 @@ compared each. Columns beyond ``doc_id``/``item_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -27,8 +29,20 @@ WINDOW = 5
 LEAST = 3
 #: Characters of benchmark text that are held in one task; a larger benchmark takes several passes over the documents.
 BLOCK_CHARS = 20_000_000
-#: Numbers, words (with what is not ASCII), ends of sentences.
-TOKEN = re.compile(rb"[0-9]+(?:[.,:/][0-9]+)*|(?:[A-Za-z\x80-\xff]|(?<=[a-z])'(?=[a-z]))+|[.!?\n]")
+# Scripts without spaces: Thai, Lao, Tibetan; Burmese; Khmer; kana and bopomofo; Han with its compatibility forms, half-width kana.
+_SINGLE = rb"\xe0[\xb8-\xbf][\x80-\xbf]|\xe1[\x80-\x82][\x80-\xbf]|\xe1[\x9e\x9f][\x80-\xbf]|\xe3\x80[\x85-\x87]|\xe3[\x81-\x84\x87\x90-\xbf][\x80-\xbf]"
+_SINGLE += rb"|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xef\xbd[\xa6-\xbf]|\xef\xbe[\x80-\x9f]|\xf0[\xa0-\xbf][\x80-\xbf]{2}"
+# Digits of these scripts and full-width ones.
+_DIGITS = rb"(?:\xef\xbc[\x90-\x99])+|(?:\xe0[\xb9\xbb][\x90-\x99])+|(?:\xe0\xbc[\xa0-\xa9])+|(?:\xe1\x81[\x80-\x89])+|(?:\xe1\x9f[\xa0-\xa9])+"
+# Ends of sentences in these scripts and full-width ones, danda, Arabic full stop and question mark.
+_ENDS = rb"\xe3\x80\x82|\xef\xbc[\x81\x8e\x9f]|\xef\xbd\xa1|\xe0\xa5[\xa4\xa5]|\xd8\x9f|\xdb\x94"
+# What else parts words: ideographic and full-width punctuation and spaces.
+_BREAKS = rb"\xe3\x80[\x80-\xbf]|\xef\xbc[\x80-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]"
+#: Numbers, characters of scripts without spaces, words (with what else is not ASCII), ends of sentences.
+TOKEN = re.compile(
+    rb"[A-Za-z]++(?![\x80-\xff'])|[0-9]+(?:[.,:/][0-9]+)*|[.!?\n]|(?=[\x80-\xff])(?:" + rb"|".join((_DIGITS, _ENDS, _SINGLE)) + rb")"
+    + rb"|(?=[A-Za-z\x80-\xff'])(?:[A-Za-z]++|(?!" + rb"|".join((_DIGITS, _ENDS, _SINGLE, _BREAKS)) + rb")[\xc2-\xf4][\x80-\xbf]*+|(?<=[a-z])'(?=[a-z]))++"
+)
 #: Tokens of documents that are hashed at once.
 CHUNK = 100_000
 
@@ -54,7 +68,8 @@ class Codes(dict):
         if len(self) > 60_000:
             self.clear()
         text = token.decode("utf-8", "replace")
-        word = text if text.isalnum() else re.sub(r"^[\W_]+|[\W_]+$", "", text)
+        # A vowel or tone mark that is a token of its own is part of a word.
+        word = text if text.isalnum() or len(text) == 1 and unicodedata.category(text)[0] == "M" else re.sub(r"^[\W_]+|[\W_]+$", "", text)
         low = word.lower()
         if not word:
             kind = MARK

@@ -84,6 +84,19 @@ def test_same_question_with_other_parameters(make, spark):
     assert got[0, 7]["verbatim"] and not got[1, 7]["verbatim"] and got[1, 7]["consistency"] == 1.0
 
 
+def test_scripts_without_spaces():
+    items = ["小明有五个苹果，他给了小红两个苹果，还剩下几个苹果？", "太郎はりんごを五個持っています。花子に二個あげました。残りは何個ですか？", "มานีมีแอปเปิลห้าลูกแล้วให้เพื่อนไปสองลูกเหลือกี่ลูก"]
+    memo, index = decontaminate.Codes(), decontaminate.Items([(i, t) for i, t in enumerate(items)])
+    for i, t in enumerate(items):
+        for doc in (t, f"前文“说明”——其他内容{t}后面还有文字。", f"Some English before: {t} and after."):
+            assert decontaminate.suspects([doc], index, memo) == [0]
+            got = decontaminate.matches(doc, index, memo, 0.8)
+            assert [m[0] for m in got] == [i] and got[0][5], doc
+        assert decontaminate.matches("今天天气很好，我们去公园散步吧。明日は雨が降るでしょう。วันนี้อากาศดีมาก", index, memo, 0.8) == []
+    words = lambda text: [t.decode() for t in decontaminate.TOKEN.findall(text.encode())]
+    assert words("价格１２元。ok don't “naïve” का है। 3.5kg") == ["价", "格", "１２", "元", "。", "ok", "don't", "“naïve”", "का", "है", "।", "3.5", "kg"]
+
+
 def test_benchmark_in_blocks_gives_the_same(make, spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
