@@ -207,7 +207,8 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach), class_id (the smallest doc_id with the same set)."""
     sets = staged(shingle_sets(docs, k, percent), "sets")
-    one = sets.where("prefix is not null").groupBy("sid").agg(F.min_by(F.struct("n", "prefix", "tokens"), "doc_id").alias("s")).select("sid", "s.*")
+    # All rows of a set hold the same; min_by would leave out those without a doc_id.
+    one = sets.where("prefix is not null").groupBy("sid").agg(F.first(F.struct("n", "prefix", "tokens")).alias("s")).select("sid", "s.*")
     found = components(staged(set_links(staged(one, "classes"), percent), "links"))
     named = sets.where("sid is not null").select("doc_id", "n", "sid")
     classes = named.groupBy("sid").agg(F.min("doc_id").alias("class_id"))

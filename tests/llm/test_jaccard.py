@@ -69,6 +69,14 @@ def test_edges(make):
     assert len(ours(make(rows))) == len(rows)
 
 
+def test_sets_whose_first_row_has_no_id(spark):
+    words = [f"v{i}" for i in range(60)]
+    near = lambda i: " ".join(words[:i] + ["other"] + words[i + 1 :])
+    rows = [(None, " ".join(words)), (5, " ".join(words)), (8, near(0)), (9, near(59))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_components(df).collect()} == {None: 5, 5: 5, 8: 5, 9: 5}
+
+
 def test_empty_table(make):
     assert ours(make([]).where("doc_id < 0")) == []
 
