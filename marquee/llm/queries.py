@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, quality, warc
+from marquee.llm import chat, collocations, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, quality, warc
 from marquee.llm.common import table
 
 
@@ -49,7 +49,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate, op13_collocations)}
 
 ORACLES = {
     "op7_chat_format": """
@@ -71,5 +75,24 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN payload_bytes >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM f
+""",
+    "op13_collocations": r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+runs AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS p FROM words, (VALUES (1), (2), (3)) t(k)
+    WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, p, count(*) AS a FROM runs GROUP BY lang, k, p HAVING k = 1 OR count(*) >= 10),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, k, p, a, string_split(p, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (SELECT lang, p, k, a, cut, array_to_string(list_slice(w, 1, cut), ' ') AS first, array_to_string(list_slice(w, cut + 1, k), ' ') AS rest FROM cand, (VALUES (1), (2)) t(cut) WHERE cut < k),
+judged AS (SELECT c.lang, c.p, c.a, cut, x.a AS l, y.a AS r, (1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.p = c.first JOIN f y ON y.lang = c.lang AND y.p = c.rest),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS pick FROM judged),
+inside AS (SELECT lang, unnest([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')]) AS p, a FROM cand WHERE k = 3),
+longer AS (SELECT lang, p, max(a) AS longest FROM inside GROUP BY lang, p),
+ranked AS (SELECT b.lang, b.p AS phrase, b.a, l, r, score, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.p) AS rank
+    FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p WHERE pick = 1 AND (longest IS NULL OR 100 * longest < 50 * b.a))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
