@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, collocations, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, quality, warc
+from marquee.llm import chat, collocations, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, pieces, quality, warc
 from marquee.llm.common import table
 
 
@@ -49,11 +49,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate, op13_collocations)}
+QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate, op12_pieces, op13_collocations)}
 
 ORACLES = {
     "op7_chat_format": """
