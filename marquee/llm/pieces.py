@@ -19,20 +19,23 @@ import heapq
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import column_of, doc_columns, slices
+from marquee.llm.common import column_of, doc_columns, slices, texts_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Characters of a word that is remembered, and words that are.
-SHORT = 32
+#: Words of so many characters are merged together and remembered, up to so many.
+WIDTHS = (8, 16, 32)
 REMEMBERED = 100_000
-NEVER = float("inf")
+#: No pair of symbols; no character any more; a character that no piece has.
+NO_RANK = 1 << 40
+NOTHING, STRANGE = (1 << 31) - 1, (1 << 31) - 2
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -111,7 +114,13 @@ class Model:
         self.scores = {piece: -score for piece, score, kind in pieces if kind == NORMAL}
         unknown = next(i for i, p in enumerate(pieces) if p[2] == UNKNOWN)
         as_bytes = {int(piece[3:5], 16): i for i, (piece, _, kind) in enumerate(pieces) if kind == BYTE}
-        self.entries = Entries(ids, as_bytes if trainer.get(35, 0) else {}, unknown)
+        self.bytes = as_bytes if trainer.get(35, 0) else {}
+        self.ids, n = ids, len(pieces)
+        # Codes: ids, and after them the unknown piece by the bytes that it stands for.
+        self.real = np.append(np.arange(n), np.full(4, unknown)).astype(np.int64)
+        self.sizes = np.array([1 if kind == BYTE else len(piece.encode()) for piece, _, kind in pieces] + [1, 2, 3, 4])
+        self.said = [str(i) for i in self.real]
+        self._tables()
         self.of_byte = {i: bytes([b]) for b, i in as_bytes.items()}
         said = trainer.get(44, " ⁇ ".encode())
         self.surfaces = [{CONTROL: b"", UNKNOWN: said}.get(kind, piece.replace(SPACE, " ").encode()) for piece, _, kind in pieces]
@@ -122,6 +131,51 @@ class Model:
         self.pairs = {piece[i : i + 2] for piece in ids for i in range(len(piece) - 1)}
         self.by_word = not any(a != SPACE and b == SPACE for a, b in self.pairs)
 
+    def _tables(self) -> None:
+        """Characters of pieces as numbers, and which two symbols make which piece of which rank, for ``merged_many``."""
+        symbols = self.ids | {c: len(self.sizes) + k for k, c in enumerate(sorted({c for p in self.ids for c in p} - self.ids.keys()))}
+        chars = sorted((ord(c), i) for c, i in symbols.items() if len(c) == 1)
+        self.chars, self.char_symbols = (np.array(x, np.int64) for x in zip(*chars, strict=True))
+        order = {score: k for k, score in enumerate(sorted(set(self.scores.values())))}
+        found = [(symbols[p[:i]] << 32 | symbols[p[i:]], order[self.scores[p]], s) for p, s in self.ids.items() for i in range(1, len(p)) if p[:i] in symbols and p[i:] in symbols]
+        self.pair_keys, self.pair_ranks, self.pair_symbols = np.array(sorted(found), np.int64).reshape(-1, 3).T.copy()
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the piece that two symbols make (``NO_RANK`` for none), and its symbol."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_RANK), self.pair_symbols[at]
+
+    def merged_many(self, words: list[str], width: int) -> list[bytes | None]:
+        """The codes of words of at most ``width`` characters as 32-bit numbers, by ``merged`` for all words at once; None for words with other characters."""
+        lengths = np.array([len(w) for w in words])
+        points = np.frombuffer("".join([w.ljust(width) for w in words]).encode("utf-32-le"), "<u4").reshape(-1, width).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
+        columns = np.arange(width)
+        symbols = np.where(self.chars[at] == points, self.char_symbols[at], STRANGE)
+        symbols[columns >= lengths[:, None]] = NOTHING
+        ranks = np.concatenate([self._pairs(symbols[:, :-1], symbols[:, 1:])[0], np.full((len(words), 1), NO_RANK)], axis=1)
+        done, rows = symbols.copy(), np.arange(len(words))
+        while len(rows):
+            best = ranks.argmin(axis=1)
+            live = ranks[np.arange(len(rows)), best] < NO_RANK
+            done[rows[~live]] = symbols[~live]
+            rows, symbols, ranks, best = rows[live], symbols[live], ranks[live], best[live]
+            each = np.arange(len(rows))
+            new = self._pairs(symbols[each, best], symbols[each, best + 1])[1]
+            moved = np.minimum(columns + (columns > best[:, None]), width - 1)
+            symbols, ranks = np.take_along_axis(symbols, moved, 1), np.take_along_axis(ranks, moved, 1)
+            symbols[:, -1], ranks[:, -1] = NOTHING, NO_RANK
+            symbols[each, best] = new
+            ranks[each, best] = self._pairs(new, symbols[each, np.minimum(best + 1, width - 1)])[0]
+            left = np.flatnonzero(best)
+            ranks[left, best[left] - 1] = self._pairs(symbols[left, best[left] - 1], new[left])[0]
+        kept = done != NOTHING
+        ends = np.cumsum(kept.sum(axis=1)) * 4
+        data = done[kept].astype("<i4").tobytes()
+        strange = (kept & (done >= len(self.real))).any(axis=1).tolist()
+        return [None if odd else data[a:b] for odd, a, b in zip(strange, [0, *ends.tolist()], ends.tolist())]
+
     def normalised(self, text: bytes) -> tuple[bytes, np.ndarray]:
         """The normalised text, and for each of its bytes, and its end, where in ``text`` the source of that byte begins."""
         data = np.frombuffer(text, np.uint8)
@@ -153,20 +207,6 @@ class Model:
             return data.tobytes().replace(b" ", SPACE.encode()), source
         return data.tobytes(), source
 
-    def merged_short(self, text: str) -> list[str]:
-        """As ``merged``, by looking through all pairs each time."""
-        symbols, rank = list(text), self.scores.get
-        ranks = [rank(a + b, NEVER) for a, b in zip(text, text[1:])]
-        while ranks and (best := min(ranks)) < NEVER:
-            i = ranks.index(best)
-            symbols[i : i + 2] = [pair := symbols[i] + symbols[i + 1]]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank(pair + symbols[i + 1], NEVER)
-            if i:
-                ranks[i - 1] = rank(symbols[i - 1] + pair, NEVER)
-        return symbols
-
     def merged(self, text: str) -> list[str]:
         """The symbols of ``text`` after all merges, the best score first, then the leftmost."""
         symbols, n = list(text), len(text)
@@ -193,57 +233,64 @@ class Model:
                 heapq.heappush(heap, (scores[more], h, more))
         return [s for s in symbols if s]
 
-    def encoded_word(self, word: str) -> tuple[str, bytes, bytes]:
-        """Ids in decimal, each followed by a comma, as 32-bit numbers, and the bytes of each piece."""
-        parts = [word] if len(word) <= SHORT else []
-        if not parts:
-            cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.pairs), len(word)]
-            parts = [word[a:b] for a, b in zip(cuts, cuts[1:])]
-        symbols = self.merged_short(word) if len(parts) == 1 else [s for part in parts for s in (self.merged if len(part) > SHORT else self.merged_short)(part)]
-        entries = [self.entries[s] for s in symbols]
-        return "".join([e[0] for e in entries]), b"".join([e[1] for e in entries]), b"".join([e[2] for e in entries])
-
-
-class Entries(dict):
-    """Symbol to its ids in decimal, each followed by a comma, as 32-bit numbers, and the bytes of each piece; characters without a piece as they are met."""
+    def encoded_word(self, word: str) -> bytes:
+        """The codes of a word's pieces as 32-bit numbers."""
+        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.pairs), len(word)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            for symbol in self.merged(word[a:b]):
+                if symbol in self.ids:
+                    out.append(self.ids[symbol])
+                else:
+                    raw = symbol.encode()
+                    out += [self.bytes[x] for x in raw] if self.bytes else [len(self.real) - 5 + len(raw)]
+        return struct.pack(f"<{len(out)}i", *out)
 
-    def __init__(self, ids: dict[str, int], bytes_: dict[int, int], unknown: int):
-        super().__init__((piece, self.entry([i], [len(piece.encode())])) for piece, i in ids.items())
-        self.bytes, self.unknown = bytes_, unknown
 
-    @staticmethod
-    def entry(ids: list[int], sizes: list[int]) -> tuple[str, bytes, bytes]:
-        return "".join([f"{i}," for i in ids]), struct.pack(f"<{len(ids)}i", *ids), bytes(sizes)
-
-    def __missing__(self, symbol: str) -> tuple[str, bytes, bytes]:
-        raw = symbol.encode()
-        out = self[symbol] = self.entry([self.bytes[b] for b in raw], [1] * len(raw)) if self.bytes else self.entry([self.unknown], [len(raw)])
-        return out
+@lru_cache(maxsize=2)
+def model_of(data: bytes) -> Model:
+    """The parsed model, kept by the Python worker for its next task."""
+    return Model(data)
 
 
 class Encoder:
-    """Encodes texts one by one; remembers short words in two generations."""
+    """Encodes texts some at a time; remembers short words in two generations."""
 
     def __init__(self, model: Model):
         self.model, self.young, self.old = model, {}, {}
         self.words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall if model.by_word and model.escape else lambda text: [text] if text else []
 
-    def _word(self, word: str) -> tuple[str, bytes, bytes]:
-        found = self.old.get(word) or self.model.encoded_word(word)
-        if len(word) <= SHORT:
-            if len(self.young) >= REMEMBERED:
-                self.young, self.old = {}, self.young
-            self.young[word] = found
-        return found
-
-    def encode(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids as decimals with commas, ids, and the first and one past the last byte of each piece in ``text``."""
-        norm, source = self.model.normalised(text.encode())
-        parts = [self.young.get(w) or self._word(w) for w in self.words(norm.decode())]
-        ids = np.frombuffer(b"".join([p[1] for p in parts]), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join([p[2] for p in parts]), np.uint8), dtype=np.int64)
-        spans = source[np.append(0, ends)]
-        return "".join([p[0] for p in parts])[:-1], ids, spans[:-1], spans[1:]
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """The codes of ``words``; of those that are not remembered, short ones are merged together."""
+        if len(self.young) >= REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, old, out = self.young, self.old, {}
+        missing: dict[int, list[str]] = {}
+        for w in words:
+            known = young.get(w) or old.get(w)
+            if known is None:
+                missing.setdefault(next((n for n in WIDTHS if len(w) <= n), 0), []).append(w)
+            else:
+                out[w] = young[w] = known
+        for w in missing.pop(0, ()):
+            out[w] = self.model.encoded_word(w)
+        for width, some in missing.items():
+            for begin in range(0, len(some), 10_000):
+                part = some[begin : begin + 10_000]
+                for w, codes in zip(part, self.model.merged_many(part, width), strict=True):
+                    out[w] = young[w] = codes or self.model.encoded_word(w)
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, np.ndarray, np.ndarray]]:
+        """For each text its ids, the same in decimal with commas, and the first and one past the last byte of each piece in the text."""
+        norms = [self.model.normalised(t.encode()) for t in texts]
+        words = [self.words(n.decode()) for n, _ in norms]
+        codes_of = self._learn({w for ws in words for w in ws})
+        said = self.model.said
+        for (_, source), ws in zip(norms, words, strict=True):
+            codes = np.frombuffer(b"".join([codes_of[w] for w in ws]), "<i4")
+            spans = source[np.append(0, np.cumsum(self.model.sizes[codes]))]
+            yield self.model.real[codes], ",".join([said[i] for i in codes.tolist()]), spans[:-1], spans[1:]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: one leading space that normalisation adds or removes goes; bytes that are no UTF-8 become U+FFFD each."""
@@ -296,11 +343,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     data = _model_of(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Model(data.value))
+        encoder = Encoder(model_of(data.value))
         for batch in batches:
             for part in slices(batch, 100):
-                rows = [encoder.encode(t or "")[1:] for t in column_of(part, "text").to_pylist()]
-                columns = [pa.array([r[i] for r in rows], pa.list_(t)) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+                rows = list(encoder.encode(texts_of(part)))
+                columns = [pa.array([r[i] for r in rows], pa.list_(t)) for i, t in ((0, pa.int32()), (2, pa.int64()), (3, pa.int64()))]
                 yield pa.RecordBatch.from_arrays([column_of(part, "doc_id"), *columns], names=["doc_id", "ids", "begins", "ends"])
 
     return doc_columns(docs).mapInArrow(run, "doc_id long, ids array<int>, begins array<long>, ends array<long>")
@@ -311,7 +358,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     data = _model_of(encoded, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Model(data.value))
+        encoder = Encoder(model_of(data.value))
         for batch in batches:
             for part in slices(batch, 100):
                 texts = [encoder.decode(ids or []) for ids in column_of(part, "ids").to_pylist()]
@@ -328,17 +375,16 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     data = _model_of(docs, model)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_covered", "spans_sha256"]
 
-    def of(encoder: Encoder, text: str) -> tuple:
-        said, ids, begins, ends = encoder.encode(text)
+    def of(encoder: Encoder, ids: np.ndarray, said: str, begins: np.ndarray, ends: np.ndarray) -> tuple:
         spans = np.stack([begins, ends], axis=1).astype("<i8")
         back = encoder.decode(ids.tolist()).encode()
         return len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(back).hexdigest(), int((ends - begins).sum()), hashlib.sha256(spans.tobytes()).hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Model(data.value))
+        encoder = Encoder(model_of(data.value))
         for batch in batches:
             for part in slices(batch, 200):
-                rows = [of(encoder, t or "") for t in column_of(part, "text").to_pylist()]
+                rows = [of(encoder, *r) for r in encoder.encode(texts_of(part))]
                 types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([column_of(part, "doc_id"), *columns], names=names)
