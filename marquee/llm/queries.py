@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import chat, collocations, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, pieces, quality, warc
+from marquee.llm import chat, collocations, decontaminate, html_text, jaccard, lempel_ziv, licences, mixing, passages, pieces, quality, trie, warc
 from marquee.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,7 +63,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate, op12_pieces, op13_collocations)}
+QUERIES = {f.__name__: f for f in (op1_licences, op2_repeated_passages, op3_lz_fingerprint, op4_mix_sources, op5_html_text, op6_quality, op7_chat_format, op8_warc, op9_ngram_jaccard, op10_decontaminate, op11_prefix_trie, op12_pieces, op13_collocations)}
 
 ORACLES = {
     "op7_chat_format": """
@@ -100,5 +104,26 @@ longer AS (SELECT lang, p, max(a) AS longest FROM inside GROUP BY lang, p),
 ranked AS (SELECT b.lang, b.p AS phrase, b.a, l, r, score, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.p) AS rank
     FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p WHERE pick = 1 AND (longest IS NULL OR 100 * longest < 50 * b.a))
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, x: xor(c >> 1, (c & 1) * 3988292384))) AS crc_of),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k, coalesce(role, '') AS r,
+    coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY k) AS turns FROM turns GROUP BY conv_id),
+h AS (SELECT conv_id, turns, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_of[1 + (xor(c, b) & 255)]::BIGINT))) % 9 AS h FROM own, t),
+built AS (SELECT a.conv_id, list_concat(coalesce(list_slice(b.turns, 1, a.h), []), list_slice(a.turns, a.h + 1, len(a.turns))) AS turns
+    FROM h a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+places AS (SELECT conv_id, d, list_slice(turns, 1, d) AS node FROM built, unnest(range(len(turns) + 1)) AS u(d)),
+nodes AS MATERIALIZED (SELECT node::VARCHAR AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(strlen(any_value(node)[d].x), 0) AS bytes, any_value(list_slice(node, 1, d - 1))::VARCHAR AS parent FROM places GROUP BY node, d),
+names AS MATERIALIZED (SELECT conv_id, d, node::VARCHAR AS node FROM places),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+below AS (SELECT a.node, sum((f.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((f.n_convs - 1) * f.bytes)::BIGINT AS saved_tokens
+    FROM full_nodes f JOIN names a ON a.conv_id = f.conv_id AND a.d <= f.d GROUP BY a.node),
+ends AS (SELECT node::VARCHAR AS node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, turns AS node FROM built) GROUP BY node)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_nodes f JOIN below b USING (node) LEFT JOIN nodes p ON f.d > 0 AND p.node = f.parent LEFT JOIN ends e ON e.node = f.node
 """,
 }
