@@ -103,9 +103,9 @@ class Model:
                 piece = dict(fields(value))
                 pieces.append((piece[1].decode(), struct.unpack("<f", piece.get(2, bytes(4)))[0], piece.get(3, NORMAL)))
             elif number == 2:
-                trainer = dict(fields(value))
+                trainer |= dict(fields(value))
             elif number == 3:
-                normaliser = dict(fields(value))
+                normaliser |= dict(fields(value))
         if trainer.get(3, 1) != 2 or trainer.get(24, 0) or any(kind in (USER_DEFINED, UNUSED) for _, _, kind in pieces):
             raise ValueError("only BPE models without user-defined pieces, unused pieces and spaces as suffixes")
         self.map = CharacterMap(normaliser.get(2, b""))
