@@ -250,7 +250,8 @@ def knn_cells(
     vec_col: str = "embedding_vector",
     digits: int | None = None,
 ) -> DataFrame:
-    """Approximate ``knn``: only the ``nprobe`` cells nearest each query are read, ranked exactly within them.
+    """Approximate ``knn``: only the ``nprobe`` cells nearest each query are read, ranked exactly within them. For a table of queries that no block holds
+    see ``knn_join``.
 
     ``index`` has a ``cell`` column its files are partitioned by, so unvisited cells are never opened. With ``nprobe`` equal
     to the number of cells the result is the exact one.

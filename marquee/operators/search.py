@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee import constants as K
 from marquee.functions.columns import genres_text, has_genre, like_pattern, runtime_within, snippet, summary_snippet, title_like
+from marquee.operators import trigrams
 from marquee.operators.dedup import top_n_per_group
 from marquee.operators.knn import QueryBlock, knn, one_block
 from marquee.session import staged
@@ -46,7 +47,7 @@ def _request_blocks(requests: DataFrame) -> list[DataFrame]:
     """``requests`` in parts of at most ``BLOCK_REQUESTS`` rows."""
     n = requests.limit(BLOCK_REQUESTS + 1).count()
     if n <= BLOCK_REQUESTS:
-        return [requests]
+        return [requests] if n else []
     total = requests.count()
     if requests.select("request_id").distinct().limit(2).count() < 2:
         raise ValueError(f"{total} requests have one request_id; ids must be unique")
@@ -62,26 +63,27 @@ def _request_blocks(requests: DataFrame) -> list[DataFrame]:
 def title_matches(movies: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     """Top ``k`` titles per request (request_id, needle) by score.
 
-    A LIKE against an arbitrary needle has no equality to join on, so a block of requests goes to every task, after a check
-    of its size; the catalogue is scanned where it lies and each task keeps ``k`` rows per request. Further blocks are
-    further passes.
+    A needle with three literal characters in a row meets the titles of its rarest trigrams by a join (``trigrams``). The others have no equality to join
+    on: a block of them goes to every task, after a check of its size, and the catalogue is scanned where it lies; further blocks are further passes, and
+    where there are none there is no such pass.
     """
-    hits = []
     # Lower-cased once per title and once per request, not once per pair.
     lowered = movies.withColumn("_title", F.lower("title")).withColumn("_original", F.lower("original_title"))
-    for block in _request_blocks(requests.select("request_id", "needle")):
-        asked = block.withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit("[%_]")))
-        pattern = like_pattern(F.col("_needle"))
-
-        def hit(title: str) -> Column:
-            # A needle without wildcards is a plain substring; LIKE would compile a pattern per pair.
-            wild = F.call_function("like", F.col(title), pattern)
-            return F.coalesce(F.when(F.col("_wild"), wild).otherwise(F.contains(F.col(title), F.col("_needle"))), F.lit(False))
-
-        pairs = lowered.join(F.broadcast(asked), hit("_title") | hit("_original"))
-        best = top_n_per_group(pairs, ["request_id"], _best_first("vote_average"), k, rank="rank")
-        hits.append(best.drop("_title", "_original", "_needle", "_wild"))
-    return reduce(DataFrame.unionByName, hits)
+    asked = requests.select("request_id", "needle").withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit("[%_]")))
+    has_trigram = F.rlike("_needle", F.lit("(?s)[^%_]{3}"))
+    found = trigrams.postings(lowered, "movie_id", ["_title", "_original"])
+    pairs = trigrams.candidates(asked.where(has_trigram), found, "movie_id", "_needle").join(asked, ["request_id", "_needle"])
+    hits = [lowered.join(pairs, "movie_id").where(_hit("_title") | _hit("_original"))]
+    for block in _request_blocks(asked.where(~has_trigram)):
+        hits.append(lowered.join(F.broadcast(block), _hit("_title") | _hit("_original")))
+    matched = reduce(DataFrame.unionByName, hits).drop("_title", "_original", "_needle", "_wild")
+    return top_n_per_group(matched, ["request_id"], _best_first("vote_average"), k, rank="rank")
+
+
+def _hit(title: str) -> Column:
+    """Whether the lower-cased ``title`` matches ``_needle``; without wildcards it is a plain substring."""
+    wild = F.call_function("like", F.col(title), like_pattern(F.col("_needle")))
+    return F.coalesce(F.when(F.col("_wild"), wild).otherwise(F.contains(F.col(title), F.col("_needle"))), F.lit(False))
 
 
 def movie_details(movies: DataFrame, requests: DataFrame, limit: int = K.DETAILS_LIMIT) -> DataFrame:
