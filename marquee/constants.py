@@ -19,6 +19,10 @@ MAX_PAGES = 25
 ENRICH_LIMIT = 200
 LANDED_REVIEWS = 5
 
+# Tables that are merged into by key: buckets of a new one, and the age at which what no version names may go.
+TABLE_BUCKETS = 16
+VACUUM_HOURS = 24
+
 # Search and look-ups.
 SEARCH_LIMIT = 5
 OVERFETCH = 4

@@ -57,6 +57,9 @@ APP = {
     "pipeline_log": "run_id string, step string, rows bigint, status string, ts timestamp",
 }
 
+# Tables that are merged into, and the keys of the merge.
+KEYED = {"movies": ("movie_id",), "movie_embeddings": ("movie_id",), "ratings": ("group_id", "movie_id")}
+
 TABLES = {**BRONZE, **SILVER, **VECTOR, **APP}
 
 MOVIE_PAYLOAD = (

@@ -35,6 +35,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that ``path`` lies in, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def rows_within(df: DataFrame, bound: int) -> list[Row] | None:
     """The rows of ``df`` when there are at most ``bound`` of them, else None. Never fetches more than ``bound + 1``."""
     rows = df.limit(bound + 1).collect()

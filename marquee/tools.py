@@ -79,9 +79,13 @@ def add_to_watchlist(cat: Catalogue, requests: DataFrame, as_of: Column | None =
 
 
 def log_group_rating(cat: Catalogue, requests: DataFrame, as_of: Column | None = None) -> int:
-    """Upsert (request_id, group_id, movie_id, score, comment); returns the rows of the table after it."""
-    merged = merge.upsert_ratings(cat.table("ratings"), requests, _now(as_of))
-    return tables.replace(merged, cat.ns, "ratings")
+    """Upsert (request_id, group_id, movie_id, score, comment); returns the rows of the table after it.
+
+    Only the buckets of the rated (group, movie) pairs are written.
+    """
+    ready, how = merge.rating_merge(cat.table("ratings"), requests, _now(as_of))
+    tables.merge_into(ready, cat.ns, "ratings", **how)
+    return cat.ns.keyed("ratings").manifest(cat.spark).rows
 
 
 def log_recommendation(cat: Catalogue, requests: DataFrame, as_of: Column | None = None) -> int:
