@@ -90,7 +90,34 @@ class _Best:
         return query, self.sim[query, place], self.id[query, place]
 
 
-def _add_block(best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, which: np.ndarray, digits: int | None) -> None:
+# Two scans may round a similarity differently; a cursor lets rows pass that lie this close before it. ``digits`` must be finer.
+CURSOR_MARGIN = 1e-3
+# Ids that one query may name as not wanted.
+SKIPPED = 1000
+
+
+@dataclass(frozen=True)
+class Resume:
+    """Where each query of a block goes on: behind the similarity ``after``, and without the ids it names in ``skip``."""
+
+    after: np.ndarray
+    skip: list[np.ndarray]
+
+    def part(self, at: slice) -> Resume:
+        return Resume(self.after[at], self.skip[at])
+
+    def hide(self, which: np.ndarray, sims: np.ndarray, ids: np.ndarray, named: np.ndarray) -> None:
+        """Take out of ``sims`` what lies before the cursors and the skipped rows; ``named`` are all skipped ids."""
+        sims[sims > self.after[which] + CURSOR_MARGIN] = -np.inf
+        rows = np.flatnonzero(np.isin(ids, named))
+        if len(rows):
+            for column, query in enumerate(which.tolist()):
+                sims[rows[np.isin(ids[rows], self.skip[query])], column] = -np.inf
+
+
+def _add_block(
+    best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, which: np.ndarray, digits: int | None, resume=None, named=None
+) -> None:
     """Offer every row to the queries numbered ``which``."""
     step = max(1, PRODUCT_CELLS // max(1, len(which)))
     mine = queries[which].T
@@ -98,20 +125,25 @@ def _add_block(best: _Best, ids: np.ndarray, rows: np.ndarray, queries: np.ndarr
         sims = rows[at : at + step] @ mine
         if digits is not None:
             sims = np.round(sims, digits) + 0.0
+        if resume is not None:
+            resume.hide(which, sims, ids[at : at + step], named)
         best.offer(which, sims, ids[at : at + step])
 
 
 def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int, digits: int | None, probes=None) -> DataFrame:
     """Top-k per task. ``probes`` maps a cell to the queries that visit it; without it every row meets every query."""
     names = pa.array(block.ids, to_arrow_type(block.id_type))
-    shared = index.sparkSession.sparkContext.broadcast((names, block.vectors, probes))
+    if block.resume is not None and digits is not None and 10.0**-digits >= CURSOR_MARGIN:
+        raise ValueError("resumed queries need similarities of more digits")
+    shared = index.sparkSession.sparkContext.broadcast((names, block.vectors, probes, block.resume))
     dim = block.vectors.shape[1]
     id_type = index.schema[id_col].dataType
     arrow_id = to_arrow_type(id_type)
     cols = [id_col, vec_col] + ([] if probes is None else ["cell"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, q, visits = shared.value
+        names, q, visits, resume = shared.value
+        named = None if resume is None else np.unique(np.concatenate(resume.skip))
         best = _Best(k, len(q))
         everyone = np.arange(len(q))
         for rb in batches:
@@ -120,12 +152,12 @@ def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int
             rows, good = unit_rows(matrix(rb.column(1), dim))
             ids = rb.column(0).to_numpy(zero_copy_only=False)
             if visits is None:
-                _add_block(best, ids[good], rows[good], q, everyone, digits)
+                _add_block(best, ids[good], rows[good], q, everyone, digits, resume, named)
                 continue
             cells = rb.column(2).to_numpy(zero_copy_only=False)
             for cell in np.unique(cells[good]):
                 inside = good & (cells == cell)
-                _add_block(best, ids[inside], rows[inside], q, visits[int(cell)], digits)
+                _add_block(best, ids[inside], rows[inside], q, visits[int(cell)], digits, resume, named)
         if (found := best.rows()) is not None:
             query, sim, ids = found
             yield pa.RecordBatch.from_arrays(
@@ -138,11 +170,15 @@ def _scan(index: DataFrame, id_col: str, vec_col: str, block: QueryBlock, k: int
 
 @dataclass(frozen=True)
 class QueryBlock:
-    """Query vectors of unit length that travel to the tasks together, with their ids."""
+    """Query vectors of unit length that travel to the tasks together, with their ids, and where they go on from an earlier search."""
 
     ids: list
     vectors: np.ndarray
     id_type: DataType
+    resume: Resume | None = None
+
+    def part(self, at: slice) -> QueryBlock:
+        return QueryBlock(self.ids[at], self.vectors[at], self.id_type, self.resume and self.resume.part(at))
 
 
 Queries = DataFrame | QueryBlock
@@ -154,7 +190,17 @@ def _block(rows: list[Row], id_type: DataType) -> QueryBlock:
     if any(len(r["query_vector"]) != width for r in rows):
         raise ValueError("query vectors differ in dimension")
     vectors, good = unit_rows(np.array([r["query_vector"] for r in rows], dtype=np.float64).reshape(len(rows), width))
-    return QueryBlock([r["query_id"] for r, ok in zip(rows, good) if ok], vectors[good], id_type)
+    kept = [r for r, ok in zip(rows, good) if ok]
+    resume = None
+    if kept and "after" in kept[0]:
+        resume = Resume(np.array([r["after"] for r in kept], dtype=np.float64), [np.array(r["skip"]) for r in kept])
+    return QueryBlock([r["query_id"] for r in kept], vectors[good], id_type, resume)
+
+
+def _asked(queries: DataFrame) -> DataFrame:
+    """Queries that have a vector, with ``after`` and ``skip`` where they go on from an earlier search."""
+    more = ["after", "skip"] if {"after", "skip"} <= set(queries.columns) else []
+    return queries.select("query_id", "query_vector", *more).filter(F.col("query_vector").isNotNull())
 
 
 def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
@@ -163,7 +209,7 @@ def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
         if queries.ids:
             yield queries
         return
-    queries = queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull())
+    queries = _asked(queries)
     id_type = queries.schema["query_id"].dataType
 
     def fetch(part: DataFrame, depth: int) -> Iterator[list[Row]]:
@@ -190,7 +236,7 @@ def query_blocks(queries: Queries) -> Iterator[QueryBlock]:
 
 def one_block(queries: DataFrame) -> QueryBlock | None:
     """All of ``queries`` as one block, or None when they do not fit one."""
-    rows = rows_within(queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull()), BLOCK_QUERIES)
+    rows = rows_within(_asked(queries), BLOCK_QUERIES)
     if rows is None or sum(len(r["query_vector"]) for r in rows) > BLOCK_NUMBERS:
         return None
     return _block(rows, queries.schema["query_id"].dataType)
@@ -220,7 +266,7 @@ def _held(queries: Queries, k: int) -> Iterator[QueryBlock]:
     step = max(1, BEST_CELLS // k)
     for block in query_blocks(queries):
         for at in range(0, len(block.ids), step):
-            yield QueryBlock(block.ids[at : at + step], block.vectors[at : at + step], block.id_type)
+            yield block.part(slice(at, at + step))
 
 
 def knn(
@@ -235,6 +281,8 @@ def knn(
 
     Order is similarity descending, then id. With ``digits`` similarities are rounded first and rows that round alike are ties, which makes
     results comparable between engines. Rows with a NULL or zero vector are never hits; a vector of another dimension is an error.
+    Queries with columns ``after`` (a similarity) and ``skip`` (at most ``SKIPPED`` ids) get the best rows that are no more than
+    ``CURSOR_MARGIN`` above that similarity and not among those ids.
     """
     parts = [_scan(index, id_col, vec_col, block, k, digits) for block in _held(queries, k)]
     return _top(parts or [_no_hits(index, queries, id_col)], id_col, k)

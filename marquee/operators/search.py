@@ -11,7 +11,7 @@ from marquee import constants as K
 from marquee.functions.columns import genres_text, has_genre, like_pattern, runtime_within, snippet, summary_snippet, title_like
 from marquee.operators import trigrams
 from marquee.operators.dedup import top_n_per_group
-from marquee.operators.knn import QueryBlock, knn, one_block
+from marquee.operators.knn import CURSOR_MARGIN, SKIPPED, QueryBlock, knn, one_block
 from marquee.session import staged
 
 # Title requests sent to every task at once.
@@ -183,9 +183,12 @@ def browse_semantic(index: DataFrame, movies: DataFrame, queries: DataFrame, lim
 
 def exclude_seen(candidates: DataFrame, watchlist: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Candidates (group_id, movie_id, …) the group has not watched, queued or been recommended."""
+    return candidates.join(_seen(watchlist, recommendations), ["group_id", "movie_id"], "left_anti")
+
+
+def _seen(watchlist: DataFrame, recommendations: DataFrame) -> DataFrame:
     keys = ["group_id", "movie_id"]
-    seen = watchlist.select(*keys).union(recommendations.select(*keys)).distinct()
-    return candidates.join(seen, keys, "left_anti")
+    return watchlist.select(*keys).union(recommendations.select(*keys)).distinct()
 
 
 def recommend_for_groups(
@@ -203,19 +206,26 @@ def recommend_for_groups(
 
     ``group_queries`` (group_id, query_id) says which of the shared ``queries`` speaks for a group, so one vector pass
     serves all groups. A first pass looks at ``candidates`` rows per query. Groups that are still short of ``picks`` get further passes
-    over the queries that speak for them, with four times as many candidates each, until they have enough or the index is exhausted.
+    over the queries that speak for them, for four times as many rows each, until they have enough or the index is exhausted. A
+    further pass goes on where the last one ended (``_resumed``) and keeps what the group has been given already.
     """
     order = [F.col("similarity").desc(), F.col("movie_id").asc()]
     titles = movies.select("movie_id", "title")
     group_queries = staged(group_queries.select("group_id", "query_id"), "groups")
     queries = staged(queries.select("query_id", "query_vector"), "queries")
-    done, n = [], candidates
+    done: list[DataFrame] = []
+    found: DataFrame | None = None
+    given: DataFrame | None = None
+    asked, n = queries, candidates
     while True:
-        block = one_block(queries)
-        hits = staged(find(index, block or queries, n).drop("rank"), "hits")
-        offered = group_queries.join(titles.join(_small(hits, block, n), "movie_id"), "query_id")
-        best = top_n_per_group(exclude_seen(offered, watchlist, recommendations), ["group_id"], order, picks, rank="rank")
-        best = staged(best, "picked")
+        block = one_block(asked)
+        hits = staged(find(index, block or asked, n).drop("rank"), "hits")
+        # What lies within the margin of a cursor and was too much to be named comes again.
+        fresh = hits if found is None else hits.join(found, ["query_id", "movie_id"], "left_anti")
+        offered = group_queries.join(titles.join(_small(fresh, block, n), "movie_id"), "query_id")
+        best = exclude_seen(offered, watchlist, recommendations)
+        best = best if given is None else best.unionByName(given)
+        best = staged(top_n_per_group(best, ["group_id"], order, picks, rank="rank"), "picked")
         # A query with fewer hits than asked for has met every row that it can.
         open_queries = hits.groupBy("query_id").agg(F.count("*").alias("c")).filter(F.col("c") >= n).select("query_id")
         full = best.groupBy("group_id").agg(F.count("*").alias("c")).filter(F.col("c") >= picks).select("group_id")
@@ -223,6 +233,26 @@ def recommend_for_groups(
         if short.isEmpty():
             done.append(best)
             return reduce(DataFrame.unionByName, done)
-        done.append(best.join(short.select("group_id").distinct(), "group_id", "left_anti"))
+        groups = short.select("group_id").distinct()
+        done.append(best.join(groups, "group_id", "left_anti"))
+        given = best.join(groups, "group_id", "left_semi").drop("rank")
+        found = hits if found is None else found.unionByName(hits)
+        asked = staged(_resumed(queries, short, found, _seen(watchlist, recommendations)), "queries")
         group_queries, n = short, n * 4
-        queries = queries.join(short.select("query_id").distinct(), "query_id", "left_semi")
+
+
+def _resumed(queries: DataFrame, groups: DataFrame, found: DataFrame, seen: DataFrame) -> DataFrame:
+    """The queries of ``groups`` as they go on behind what they ``found``.
+
+    A query names the rows found within the margin of its cursor, then rows that all of its groups have seen, up to
+    ``SKIPPED``. Naming them only spares the scan: what else comes again is taken out where the groups meet it.
+    """
+    cursor = found.groupBy("query_id").agg(F.min("similarity").alias("after"))
+    close = found.join(cursor, "query_id").filter(F.col("similarity") <= F.col("after") + 2 * CURSOR_MARGIN)
+    speaks_for = groups.groupBy("query_id").agg(F.count_distinct("group_id").alias("n_groups"))
+    seen_by = groups.distinct().join(seen, "group_id").groupBy("query_id", "movie_id").agg(F.count("*").alias("n_seen"))
+    by_all = seen_by.join(speaks_for, "query_id").filter(F.col("n_seen") == F.col("n_groups"))
+    named = close.select("query_id", "movie_id", F.lit(0).alias("kind")).unionByName(by_all.select("query_id", "movie_id", F.lit(1).alias("kind")))
+    some = top_n_per_group(named, ["query_id"], [F.col("kind"), F.col("movie_id")], SKIPPED)
+    skip = some.groupBy("query_id").agg(F.collect_set("movie_id").alias("skip"))
+    return queries.join(speaks_for, "query_id", "left_semi").join(cursor, "query_id").join(skip, "query_id")

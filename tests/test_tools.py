@@ -90,3 +90,22 @@ def test_index_follows_the_embedding_table(spark, cat, tmp_path):
     tables.replace(kept, cat.ns, "movie_embeddings")
     assert jobs.sync_index(spark, cat.ns, index) == 1
     assert [r["movie_id"] for r in index.rows(spark).collect()] == [2]
+
+
+def test_the_index_follows_the_attributes_and_a_filtered_search_moves_no_vector(spark, cat, tmp_path):
+    tables.replace(cat.table("movies").withColumn("runtime", F.lit(50)), cat.ns, "movies")
+    jobs.embed_new(spark, cat.ns, hashed_tokens(64), "hashed", now())
+    index = jobs.Index(str(tmp_path / "index"), 64)
+    jobs.sync_index(spark, cat.ns, index, cells=2)
+    changed = F.when(F.col("movie_id") == 1, 300).otherwise(F.col("runtime"))
+    tables.replace(cat.table("movies").withColumn("runtime", changed), cat.ns, "movies")
+    assert jobs.sync_index(spark, cat.ns, index) == 1
+    assert jobs.sync_index(spark, cat.ns, index) == 0
+    assert {(r["movie_id"], r["runtime"]) for r in index.rows(spark).collect()} == {(1, 300), (2, 50)}
+    over = tools.Catalogue(spark, cat.ns, index.rows(spark), hashed_tokens(64))
+    queries = spark.createDataFrame([(1, "bank robbery heist")], "query_id int, query string")
+    found = tools.search_movies_semantic(over, queries, max_runtime=100)
+    assert [r["movie_id"] for r in found.collect()] == [2]
+    scan = found._jdf.queryExecution().optimizedPlan().toString()
+    scan = scan[scan.index("MapInArrow") :]
+    assert "Join" not in scan.split("Relation")[0] and "embedding_vector" in scan
