@@ -9,6 +9,7 @@ from marquee.operators.numbering import allocate_ids
 from marquee.plans import views as V
 from marquee.plans.registry import query, with_views
 from marquee.session import scratch_dir
+from marquee.sources import tables
 
 _SOURCE = "CASE WHEN p_size > 30 THEN NULL ELSE p_name END"
 
@@ -116,6 +117,30 @@ def upsert_ratings(spark, sf):
     return merged.select("rating_id", "group_id", "movie_id", "score", "comment", stamped.alias("stamped"))
 
 
+@query(
+    "rating_version_feed",
+    with_views(
+        """SELECT 'update_preimage' AS change, r.group_id, r.movie_id, r.score FROM ratings r JOIN last_requests q USING (group_id, movie_id)
+           UNION ALL
+           SELECT 'update_postimage', r.group_id, r.movie_id, q.score FROM ratings r JOIN last_requests q USING (group_id, movie_id)
+           UNION ALL
+           SELECT 'insert', group_id, movie_id, score FROM last_requests q
+           WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.group_id = q.group_id AND r.movie_id = q.movie_id)""",
+        V.RATINGS,
+        _RATING_REQUESTS,
+    ),
+)
+def rating_version_feed(spark, sf):
+    """What one batch of rating requests changed in the keyed table, from its versions before and after."""
+    ns = tables.Namespace.fresh(spark, "versions")
+    ns.create(spark, ["ratings"])
+    tables.replace(V.ratings(spark, sf), ns, "ratings")
+    before = ns.keyed("ratings").manifest(spark).version
+    ready, how = merge.rating_merge(ns.scan(spark, "ratings"), _rating_requests(spark, sf), V.as_of())
+    tables.merge_into(ready, ns, "ratings", **how)
+    return tables.version_feed(spark, ns, "ratings", before, keys=["rating_id"]).select("change", "group_id", "movie_id", "score")
+
+
 _PURCHASES = """requests AS (
   SELECT rec_id AS request_id, group_id, movie_id, reason FROM recommendations)"""
 
