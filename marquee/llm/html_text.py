@@ -1,42 +1,75 @@
-"""Main text of web pages by structure and host suffix arrays.
+"""Main text of web pages by structure and the runs of words that a host repeats.
 
-A page is read into blocks of text. What stands in menus, page headers, footers, sidebars, forms, scripts, styles, or in elements whose class or
-id names a notice, an advert or comments is marked as apparatus; what stands in ``article`` or ``main`` as content.
+A page is read into blocks of text. Elements end as HTML has it: ``p``, ``li``, ``dt``, ``dd``, cells, rows and options without end tags at what
+follows them, everything else at its end tag or that of an element around it. What stands in menus, headers, footers, sidebars, dialogs, form
+controls, scripts, styles, or in elements whose class, id or role names a notice, an advert or comments is apparatus. Apparatus whose own end tag is missing
+ends at the next paragraph, heading, section or the like. ``article`` and ``main`` hold content. A form around one of them is only a frame. The ``header`` of
+an article is a header and goes with its heading. Inside content a name is apparatus only if all its parts say so: ``share-buttons``, not ``share-price``.
 
-The token streams of a host's pages are put together, part by part, and sorted by their suffixes up to ``RUN`` tokens
-(rank doubling). Runs of equal tokens on distinct pages are covered. Of the blocks that are not apparatus a page keeps
+The words of a page's blocks are a stream; blocks of fewer than ``RUN`` words are put together with their neighbours. Each run of ``RUN`` words is a
+suffix cut to that depth; the smallest of every ``WINDOW`` neighbouring runs, by hash, stands for them, so that equal stretches give equal runs
+whatever surrounds them. A shuffle counts the distinct pages of each (host, run). Template is what more than half of a host's pages, and at
+least three, have; a block goes when more than half of its runs are template. Equal pages count once. So do near copies: pages that consist of
+template to four fifths or more are counted again as one page. An article that most pages of a host repeat is therefore content, and what two
+pages quote from one another too. Nothing depends on how many pages a host has otherwise.
 
-* inside ``article`` or ``main``: all but those covered by runs that more than half of the pages have (at least ``TEMPLATE_PAGES``); copies
-  of an article on one host are content, not template;
-* on pages without such an element: those that are mostly not covered, that is the unique runs.
-
-Hosts with more than ``HOST_PAGES`` pages are cut into parts by a hash of the page, so that no task holds a whole host; a run that
-a host's template repeats is in every part of it. Character references are decoded, white space in a block is one space, and blocks are joined
-by one space in page order. NULL and empty html give an empty text. Rows that repeat a page are two pages of one ``page_id``; an equal page is
-never counted as another one. Columns beyond ``page_id``, ``url`` and ``html`` are ignored.
+On pages with content, blocks outside of it go as well. Character references are decoded, white space in a block is one space, and blocks are joined
+by one space in page order. NULL and empty html give an empty text. Rows that repeat a page are counted once and each give a row. Pages with NULL or odd
+urls are one host. Columns beyond ``page_id``, ``url`` and ``html`` are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import shingles, slices
 from marquee.session import staged
 
-HOST_PAGES = 2000
 RUN = 8
-TEMPLATE_PAGES = 20
+WINDOW = 8
+#: Fewer pages cannot tell a template from a quotation.
+LEAST_PAGES = 3
+#: A page that is template to this share is a near copy.
+COPY = 0.8
 
 # Element names by their role.
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "select", "object", "math", "canvas", "title")
+RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "select", "title")
 APPARATUS = frozenset("nav header footer aside form button menu dialog head".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+CONTENT = ("article", "main")
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark math q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements whose start ends an open paragraph, or apparatus that lacks its end tag.
+BREAKS = frozenset(
+    """
+    address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p
+    pre section table ul
+    """.split()
+)
+RESUMES = frozenset("p h1 h2 h3 h4 h5 h6 section div article main table blockquote pre figure hr".split())
+# For elements with optional end tags, those of their kind that their start ends, and where the search for one stops.
+SIBLINGS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "td": ({"td", "th"}, {"table", "tr"}),
+    "th": ({"td", "th"}, {"table", "tr"}),
+    "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "tbody": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
+    "thead": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
+    "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
+}
+OPTIONAL_END = frozenset({*SIBLINGS, "p"})
+# An end tag does not reach out of these, but for the parts of a table that stop at the table.
+SCOPES = frozenset("table td th caption object".split())
 # Words of class, id and role that name apparatus.
 HINTS = frozenset(
     """
@@ -46,6 +79,16 @@ HINTS = frozenset(
     recommendations widget toolbar pagination pager skip-link contentinfo complementary search searchform form
     """.split()
 )
+# Words that name a place or a shape beside such a word, and words that as an id inside content are more likely a heading's anchor.
+LAYOUT = frozenset(
+    """
+    area bar block body bottom box button buttons container content desktop entry fixed footer group icon icons inline inner item items left link links list
+    main mobile outer page panel placeholder post posts primary reader right row secondary section side site slot small sticky text top unit user wrap wrapper
+    """.split()
+)
+ANCHORS = frozenset("ad ads alert consent discussion foot header notice notices promotion related reply respond search share social subscription".split())
+# First parts of names that tell of a layout, not of what an element is.
+ABOUT = ("has", "with", "no", "without", "is")
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -55,168 +98,257 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-CONTENT = ("article", "main")
-# First parts of names that tell of a layout, not of what an element is.
-ABOUT = ("has", "with", "no", "without", "is")
 
 
-def _hinted(tag: str, attrs: str) -> bool:
-    """Whether class, id or role name apparatus: a whole name, or, but for content elements, a part of one (``cookie-notice``, not
-    ``has-sidebar``)."""
+def _hinted(tag: str, attrs: str, inside: bool) -> bool:
+    """Whether class, id or role name apparatus: a whole name, or a part of one (``cookie-notice``, not ``has-sidebar``); inside content and on
+    content elements all parts must be of apparatus or layout."""
     if "=" not in attrs and "hidden" not in attrs.lower():
         return False
     for found in ATTR.finditer(attrs):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        for name in value.split():
+        anchor = inside and found[1].lower() == "id"
+        for name in (found[2] or found[3] or found[4] or "").lower().split():
+            if name in HINTS:
+                if not (anchor and name in ANCHORS):
+                    return True
+                continue
             parts = re.split(r"[-_]+", name)
-            if name in HINTS or tag not in CONTENT and parts[0] not in ABOUT and not HINTS.isdisjoint(parts):
+            if tag in CONTENT or parts[0] in ABOUT or HINTS.isdisjoint(parts):
+                continue
+            if not inside or all(p in HINTS or p in LAYOUT or p.isdigit() for p in parts):
                 return True
     return bool(HIDDEN.search(attrs))
 
 
+class _Open:
+    """The open elements of a page, outermost first, as (name, serial number)."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.counts: dict[str, int] = {}
+
+    def push(self, tag: str, serial: int) -> None:
+        self.stack.append((tag, serial))
+        self.counts[tag] = self.counts.get(tag, 0) + 1
+
+    def cut(self, at: int) -> list[tuple[str, int]]:
+        gone = self.stack[at:]
+        del self.stack[at:]
+        for tag, _ in gone:
+            self.counts[tag] -= 1
+        return gone
+
+    def innermost(self, names, stops) -> int | None:
+        """Place of the innermost element among ``names`` that no element among ``stops`` hides."""
+        if not any(self.counts.get(n) for n in names):
+            return None
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in names:
+                return i
+            if self.stack[i][0] in stops:
+                return None
+        return None
+
+    def before(self, tag: str) -> list[tuple[str, int]]:
+        """What the start of ``tag`` ends."""
+        gone = []
+        if tag in BREAKS and (at := self.innermost({"p"}, SCOPES | {"button"})) is not None:
+            gone += self.cut(at)
+        if tag in SIBLINGS and (at := self.innermost(*SIBLINGS[tag])) is not None:
+            # An outer row or group ends at its own kind even where cells are still open.
+            while at > 0 and self.stack[at - 1][0] in SIBLINGS[tag][0]:
+                at -= 1
+            gone += self.cut(at)
+        return gone
+
+    def closed(self, tag: str) -> list[tuple[str, int]]:
+        """What the end tag of ``tag`` ends, ``tag`` itself first; nothing where none is open."""
+        if tag in INLINE:
+            stops = BREAKS | SCOPES | SIBLINGS.keys()
+        elif tag in SIBLINGS:
+            stops = SIBLINGS[tag][1] - {"tr"}
+        else:
+            stops = frozenset() if tag == "table" else SCOPES - {tag}
+        at = self.innermost({tag}, stops)
+        return [] if at is None else self.cut(at)
+
+
+def _tags(page: str) -> Iterator[tuple[str, bool, str, str]]:
+    """(name, whether an end tag, attributes, text) of each tag, or of a piece of text with an empty name."""
+    for m in TOKEN.finditer(page):
+        if (text := m["text"]) is not None:
+            yield "", False, "", text
+        elif tag := (m["tag"] or m["tag2"] or "").lower():
+            if tag not in ("html", "body"):  # they end with the page, whatever it says
+                yield tag, bool(m["close"] or m["close2"]), m["attrs"] or "", ""
+
+
+def _unclosed(tags: list[tuple[str, bool, str, str]]) -> set[int]:
+    """Serial numbers of the elements that need an end tag and have none."""
+    open_, out = _Open(), set()
+
+    def lost(gone: list[tuple[str, int]]) -> None:
+        out.update(n for tag, n in gone if tag not in OPTIONAL_END)
+
+    for n, (tag, close, attrs, _) in enumerate(tags):
+        if not tag or tag in VOID:
+            continue
+        if close:
+            lost(open_.closed(tag)[1:])
+            continue
+        lost(open_.before(tag))
+        if not attrs.endswith("/"):
+            open_.push(tag, n)
+    lost(open_.stack)
+    return out
+
+
 def blocks_of(page: str | None) -> tuple[list[str], list[bool]]:
     """Texts of the blocks that are not apparatus, and whether each stands in ``article`` or ``main``."""
     texts: list[str] = []
     inside: list[bool] = []
     piece: list[str] = []
-    content = 0  # open article and main elements
-    skipped, depth = "", 0  # the apparatus element that is open, and how many of its name
+    tags = list(_tags(page or ""))
+    loose = _unclosed(tags)
+    open_ = _Open()
+    content: set[int] = set()  # open article and main elements
+    skipped: set[int] = set()  # open apparatus
 
     def end() -> None:
         if piece:
             text = " ".join(entities.unescape("".join(piece)).split())
             if text:
                 texts.append(text)
-                inside.append(content > 0)
+                inside.append(bool(content))
             piece.clear()
 
-    for m in TOKEN.finditer(page or ""):
-        if (text := m["text"]) is not None:
+    def leave(gone: list[tuple[str, int]]) -> None:
+        if any(tag not in INLINE for tag, _ in gone):
+            end()
+        for _, n in gone:
+            content.discard(n)
+            skipped.discard(n)
+
+    for n, (tag, close, attrs, text) in enumerate(tags):
+        if not tag:
             if not skipped:
                 piece.append(text)
             continue
-        tag = (m["tag"] or m["tag2"] or "").lower()
-        if not tag:
-            continue
-        close = bool(m["close"] or m["close2"])
-        attrs = m["attrs"] or ""
-        if skipped:
-            if tag == skipped and tag not in VOID:
-                depth += -1 if close else 0 if attrs.endswith("/") else 1
-                if depth == 0:
-                    skipped = ""
-            elif tag in CONTENT and not close and not content and not _hinted(tag, attrs):
-                skipped = ""  # what was open before the content was not closed
-                content = 1
-            continue
         if close:
-            if tag in CONTENT and content:
-                end()
-                content -= 1
-            elif tag not in INLINE:
-                end()
-            continue
-        if tag in APPARATUS or _hinted(tag, attrs) and tag not in ("html", "body"):
+            leave(open_.closed(tag))
             if tag not in INLINE:
                 end()
-            if tag not in VOID and not attrs.endswith("/"):
-                skipped, depth = tag, 1
             continue
+        leave(open_.before(tag))
+        if skipped and tag in RESUMES:
+            skipped -= loose
         if tag not in INLINE:
             end()
-        if tag in CONTENT:
-            content += 1
+        hinted = _hinted(tag, attrs, bool(content))
+        if tag in CONTENT and not hinted and skipped and not content:
+            forms = {serial for name, serial in open_.stack if name == "form"}
+            if skipped <= forms:
+                skipped -= forms
+        if tag in VOID or attrs.endswith("/"):
+            continue
+        open_.push(tag, n)
+        if tag in APPARATUS or hinted:
+            skipped.add(n)
+        elif tag in CONTENT and not skipped:
+            content.add(n)
     end()
     return texts, inside
 
 
-def covered_tokens(tokens: np.ndarray, page: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """For each token the number of distinct pages that have the most widespread run of ``RUN`` tokens through it; 1 where none is repeated.
+def _hashes(blocks: list[str]) -> tuple[list[np.ndarray], list[int]]:
+    """Chosen runs of each stretch of blocks, and the stretch of each block. A stretch has ``RUN`` words or more, or is all that there is."""
+    stretches: list[list[bytes]] = []
+    at: list[int] = []
+    short = False  # whether the last stretch may still grow
+    for block in blocks:
+        words = block.encode("utf-8", "surrogatepass").split()
+        if len(words) >= RUN:
+            stretches.append(words)
+            short = False
+        elif short:
+            stretches[-1] += words
+        else:
+            stretches.append(words)
+            short = True
+        at.append(len(stretches) - 1)
+    out = []
+    for words in stretches:
+        if len(words) < RUN:
+            out.append(np.empty(0, np.int64))
+            continue
+        runs = shingles(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), RUN)
+        if len(runs) > WINDOW:
+            runs = np.lib.stride_tricks.sliding_window_view(runs, WINDOW).min(axis=1)
+        out.append(np.unique(runs).view(np.int64))
+    return out, at
+
+
+def kept_blocks(blocks: list[str], inside: list[bool], template: np.ndarray) -> list[str]:
+    """The blocks that stay on a host with these template runs."""
+    content = any(inside)
+    runs, at = _hashes(blocks) if len(template) else ([], [])
+    gone = [len(r) > 0 and 2 * int(np.isin(r, template).sum()) > len(r) for r in runs]
+    return [b for i, b in enumerate(blocks) if (inside[i] or not content) and not (gone and gone[at[i]])]
+
+
+def _templates(pages: DataFrame) -> DataFrame:
+    """(host, template): the runs that more than half of a host's ``pages`` (host, runs, copy) have; its copies count as one page.
 
-    ``tokens`` are the streams of all pages, one after the other, ``page`` the page of each token and ``place`` those that end
-    a page's stream within fewer than ``RUN`` tokens marked False. Suffixes are ranked by their first 1, 2, 4 and 8 tokens.
+    A page has few runs that most pages have, so a list holds no more than twice the runs of an average page.
     """
-    n = len(tokens)
-    if not n:
-        return np.empty(0, np.int64)
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    width = 1
-    while width < RUN:
-        after = np.zeros(n, np.int64)
-        after[:-width] = rank[width:] + 1 if width < n else after[:-width]
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
-        width *= 2
-    suffixes = np.lexsort((page, rank))  # the suffix array, equal heads by page
-    suffixes = suffixes[place[suffixes]]
-    heads, pages = rank[suffixes], page[suffixes]
-    new = np.concatenate([[True], heads[1:] != heads[:-1]]) if len(heads) else np.empty(0, bool)
-    other = new.copy()
-    other[1:] |= pages[1:] != pages[:-1]
-    group = np.cumsum(new) - 1
-    distinct = np.bincount(group[other], minlength=int(group[-1]) + 1 if len(group) else 0)
-    at = np.ones(n, np.int64)
-    if len(suffixes):
-        at[suffixes] = distinct[group]
-    out = at.copy()
-    for i in range(1, RUN):
-        out[i:] = np.maximum(out[i:], at[:-i] if i < n else 0)
-    return out
+    once = F.count_if(~F.col("copy")) + F.max(F.col("copy").cast("long"))
+    hosts = pages.groupBy("host").agg(once.alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    runs = pages.select("host", "copy", F.explode("runs").alias("run")).groupBy("host", "run").agg(once.alias("n"))
+    most = runs.where(F.col("n") >= LEAST_PAGES).join(hosts, "host").where(2 * F.col("n") > F.col("pages"))
+    return most.groupBy("host").agg(F.collect_list("run").alias("template"))
 
 
-def _extract(part: pa.Table) -> pa.Table:
-    """Texts of the pages of one part of a host."""
-    texts, inside = part.column("texts").to_pylist(), part.column("inside").to_pylist()
-    memo: dict[str, int] = {}
-    streams, lengths = [], []
-    for blocks in texts:
-        ids = [[memo.setdefault(w, len(memo)) for w in b.split()] for b in blocks]
-        lengths.append([len(i) for i in ids])
-        streams.append(np.array([x for i in ids for x in i], np.int64))
-    # Equal pages are one page.
-    same: dict[bytes, int] = {}
-    number = [same.setdefault(s.tobytes(), len(same)) for s in streams]
-    sizes = np.array([len(s) for s in streams], np.int64)
-    tokens = np.concatenate(streams) if streams else np.empty(0, np.int64)
-    page = np.repeat(np.array(number, np.int64), sizes)
-    left = np.concatenate([np.arange(n, 0, -1) for n in sizes]) if len(sizes) else np.empty(0, np.int64)
-    on = covered_tokens(tokens, page, left >= RUN)
-    total = len(same)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    out = []
-    for i, blocks in enumerate(texts):
-        content = any(inside[i])
-        at, kept = int(starts[i]), []
-        for text, is_content, n in zip(blocks, inside[i], lengths[i], strict=True):
-            pages = on[at : at + n]
-            at += n
-            if content:
-                template = total >= TEMPLATE_PAGES and 2 * int((2 * pages > total).sum()) > n
-                if is_content and not template:
-                    kept.append(text)
-            elif 2 * int((pages > 1).sum()) <= n:
-                kept.append(text)
-        out.append(" ".join(kept))
-    names = ["page_id", "url", "text", "n_chars"]
-    return pa.table([part.column("page_id"), part.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=names)
+def host_templates(rows: DataFrame) -> DataFrame:
+    """(host, template) for the hosts of ``rows`` (host, html) that have one."""
+
+    def parse(batches):
+        for batch in (part for whole in batches for part in slices(whole, 200)):
+            digests, chosen = [], []
+            for page in batch.column(1).to_pylist():
+                blocks, _ = blocks_of(page)
+                digests.append(xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63))
+                runs = _hashes(blocks)[0]
+                chosen.append(np.unique(np.concatenate(runs)) if runs else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(chosen, pa.list_(pa.int64()))], names=["host", "page", "runs"])
+
+    parsed = rows.select("host", "html").mapInArrow(parse, "host string, page long, runs array<long>")
+    # Equal pages have equal runs: any one stands for all of them.
+    pages = staged(parsed.groupBy("host", "page").agg(F.first("runs").alias("runs")), "page-runs")
+    first = staged(_templates(pages.withColumn("copy", F.lit(False))), "templates")
+    of_template = F.size(F.array_intersect("runs", "template")) >= COPY * F.size("runs")
+    marked = pages.join(first, "host").select("host", "runs", ((F.size("runs") > 0) & of_template).alias("copy"))
+    copied = staged(marked.where("copy").select("host").distinct(), "copied-hosts")
+    again = _templates(marked.join(copied, "host", "left_semi"))
+    return first.join(copied, "host", "left_anti").unionByName(again)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of ``pages`` (page_id, url, html)."""
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host")
-    hosts = staged(rows.select(host).groupBy("host").agg(F.ceil(F.count("*") / F.lit(HOST_PAGES)).alias("parts")), "hosts")
+    host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), host.alias("host"))
+    templates = staged(host_templates(rows), "host-templates")
 
-    def parse(batches):
-        for batch in batches:
-            pairs = [blocks_of(h) for h in batch.column(2).to_pylist()]
-            columns = [pa.array([t for t, _ in pairs], pa.list_(pa.string())), pa.array([i for _, i in pairs], pa.list_(pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["page_id", "url", "texts", "inside"])
-
-    parsed = rows.mapInArrow(parse, "page_id long, url string, texts array<string>, inside array<boolean>").withColumn("host", host)
-    # Hosts are written first, so that their size is known and few of them are broadcast before any page is moved. Pages are dealt by
-    # host and part in one key: a hot host is spread even where the join has dealt pages by host.
-    parsed = parsed.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
-    parsed = parsed.select("page_id", "url", "texts", "inside", F.concat_ws("/", "part", "host").alias("key"))
-    return parsed.groupBy("key").applyInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    def texts(batches):
+        for batch in (part for whole in batches for part in slices(whole, 200)):
+            out = []
+            for page, template in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                blocks, inside = blocks_of(page)
+                out.append(" ".join(kept_blocks(blocks, inside, np.array(template.as_py() or [], np.int64))))
+            columns = [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["page_id", "url", "text", "n_chars"])
+
+    # Few hosts have a template that structure does not show; only their pages meet one, and a hot host is split by the skew join.
+    joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    return joined.mapInArrow(texts, "page_id long, url string, text string, n_chars long")

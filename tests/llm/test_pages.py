@@ -7,7 +7,7 @@ import pytest
 from check import compare, connect
 
 from marquee.llm import warc
-from marquee.llm.html_text import covered_tokens, extract
+from marquee.llm.html_text import extract
 from marquee.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "page_id long, url string, html string"
@@ -48,24 +48,88 @@ def test_odd_markup(spark, html, text):
     assert texts(spark, [(1, None, html)])[1]["text"] == text
 
 
-def test_covered_tokens_against_brute_force():
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p class=notice>Site notice<p>The real article text<p>more", "The real article text more"),
+        ("<ul><li class=menu>x<li>real one</ul><p>rest", "real one rest"),
+        ("<nav><a>Home</a><p>real text</p>", "real text"),
+        ("<div><nav><ul><li>menu</ul></nav><p>real</div><p>more", "real more"),
+        ("<table><tr><td>a<td class=ad>b<tr><td>c</table>d", "a c d"),
+        ("<dl><dt>a<dd class=ad>b<dt>c</dl>", "a c"),
+        ("<div>a</p>b</div>", "a b"),
+        ("<section id=comments><article>Nice</article></section><p>ok", "ok"),
+        ("<form><main>z</main>q</form>", "z"),
+        ("<article>a <math><mi>x</mi></math> b <object>o</object> <canvas>c</canvas></article>", "a x b o c"),
+        ("<article><div class=share-price>5</div><div class='search-theory'>6</div><h2 id=discussion>D</h2><p class=related-work>7</article>", "5 6 D 7"),
+        ("<article>t<div class='share-buttons'>S</div><div class=comment-list>C</div><header><h1>H</h1></header></article>", "t"),
+        ("<div/><p>" * 3000 + "deep", "deep"),
+    ],
+)
+def test_ends_and_names(spark, html, text):
+    assert texts(spark, [(1, None, html)])[1]["text"] == text
+
+
+def words(seed, n):
+    return " ".join(f"w{seed}x{i}" for i in range(n))
+
+
+def test_near_copies_and_quotations_stay(spark):
+    rows = [(i, "http://a.example/", f"<p>{words(0, 300)}</p><p>{i} May</p>") for i in range(2)]
+    rows += [(10 + i, "http://b.example/", f"<p>{words(0, 300)}</p><p>{i} May</p>") for i in range(7)]
+    rows += [(20 + i, "http://c.example/", f"<p>{words(20 + i, 60)}</p><p>{words(1, 20) if i < 2 else words(90 + i, 20)}</p>") for i in range(6)]
+    got = texts(spark, rows)
+    assert all(got[i]["text"] == f"{words(0, 300)} {i % 10} May" for i in (0, 1, *range(10, 17)))
+    assert all(got[20 + i]["text"] == f"{words(20 + i, 60)} {words(1, 20) if i < 2 else words(90 + i, 20)}" for i in range(6))
+
+
+def test_template_goes_where_most_pages_are_copies(spark):
+    template = f"<p>{words(7, 40)}</p>"
+    rows = [(i, "http://a.example/", f"{template}<p>{words(0, 300)}</p><p>copy {i}</p>") for i in range(6)]
+    rows += [(10 + i, "http://a.example/", f"{template}<p>{words(10 + i, 60)}</p>") for i in range(4)] + [(20, "http://a.example/", template)]
+    got = texts(spark, rows)
+    assert all(got[i]["text"] == f"{words(0, 300)} copy {i}" for i in range(6))
+    assert all(got[10 + i]["text"] == words(10 + i, 60) for i in range(4)) and got[20]["text"] == ""
+
+
+@pytest.mark.parametrize("n", [3, 1999, 2001, 20_000])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_hosts_of_any_size(spark, n, tag):
+    """A template goes from all pages; what four pages share stays on all of them."""
+    html = f"concat('<{tag}><p>{words(1, 12)}</p><p>', if(id < 4, '{words(2, 30)}', concat_ws(' ', transform(sequence(1, 30), i -> concat('u', id, 'x', i)))), ' ', id, '</p></{tag}>')"
+    pages = spark.range(n).selectExpr("id AS page_id", "'https://h.example/' AS url", f"{html} AS html")
+    got = extract(pages)
+    want = f"concat(if(page_id < 4, '{words(2, 30)}', concat_ws(' ', transform(sequence(1, 30), i -> concat('u', page_id, 'x', i)))), ' ', page_id)"
+    if n == 3:  # here all pages share it, and are near copies of one another
+        want = f"concat('{words(1, 12)} ', {want})"
+    assert got.count() == n and got.where(f"text <> {want}").count() == 0
+
+
+def test_templates_against_brute_force(spark):
+    """Runs counted page by page in plain Python on random pages of few words."""
     import numpy as np
 
     from marquee.llm import html_text
 
     rng = np.random.default_rng(4)
-    page = np.repeat(np.arange(12), 30)
-    tokens = rng.integers(0, 2, len(page))
-    left = np.tile(np.arange(30, 0, -1), 12)
-    got = covered_tokens(tokens, page, left >= html_text.RUN)
-    r = html_text.RUN
-    want = np.ones(len(page), int)
-    for i in range(len(page)):
-        for b in range(max(0, i - r + 1), i + 1):
-            if left[b] >= r:
-                have = {int(page[c]) for c in range(len(page)) if left[c] >= r and (tokens[c : c + r] == tokens[b : b + r]).all()}
-                want[i] = max(want[i], len(have)) if page[b] == page[i] else want[i]
-    assert (got == want).all()
+    rows = []
+    for i in range(120):
+        blocks = [" ".join(map(str, rng.integers(0, 400, rng.integers(1, 40)))) for _ in range(3)] + [words(h, 25) for h in range(6) if rng.random() < 0.2 + 0.1 * h]
+        rng.shuffle(blocks)
+        rows.append((i, f"http://h{i % 3}.example/", "".join(f"<p>{b}</p>" for b in blocks)))
+    got = {r["host"]: set(r["template"]) for r in html_text.host_templates(spark.createDataFrame(rows, SCHEMA).selectExpr("regexp_extract(url, '//([^/]*)', 1) AS host", "html").repartition(4)).collect()}
+    for h in range(3):
+        pages = {tuple(html_text.blocks_of(html)[0]) for _, url, html in rows if url == f"http://h{h}.example/"}
+        runs = [set(np.concatenate(html_text._hashes(list(p))[0]).tolist()) for p in pages]
+
+        def most(groups):
+            counts = Counter(run for group in groups for run in set().union(*group))
+            return {run for run, n in counts.items() if n >= 3 and 2 * n > len(groups)}
+
+        found = most([[r] for r in runs])
+        copies = [r for r in runs if r and len(r & found) >= 0.8 * len(r)]
+        want = most([[r] for r in runs if r not in copies] + [copies]) if copies else found
+        assert got.get(f"h{h}.example", set()) == want and want
 
 
 def test_extract_empty(spark):
