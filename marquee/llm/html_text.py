@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import shingles, slices
+from marquee.llm.common import WordHashes, shingles, slices, starts_of
 from marquee.session import staged
 
 RUN = 8
@@ -70,6 +70,7 @@ SIBLINGS = {
 OPTIONAL_END = frozenset({*SIBLINGS, "p"})
 # An end tag does not reach out of these, but for the parts of a table that stop at the table.
 SCOPES = frozenset("table td th caption object".split())
+STOP_INLINE = BREAKS | SCOPES | SIBLINGS.keys()
 # Words of class, id and role that name apparatus.
 HINTS = frozenset(
     """
@@ -142,7 +143,10 @@ class _Open:
 
     def innermost(self, names, stops) -> int | None:
         """Place of the innermost element among ``names`` that no element among ``stops`` hides."""
-        if not any(self.counts.get(n) for n in names):
+        for name in names:
+            if self.counts.get(name):
+                break
+        else:
             return None
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] in names:
@@ -153,8 +157,10 @@ class _Open:
 
     def before(self, tag: str) -> list[tuple[str, int]]:
         """What the start of ``tag`` ends."""
-        gone = []
-        if tag in BREAKS and (at := self.innermost({"p"}, SCOPES | {"button"})) is not None:
+        gone: list[tuple[str, int]] = []
+        if tag in INLINE:
+            return gone
+        if tag in BREAKS and self.counts.get("p") and (at := self.innermost({"p"}, SCOPES | {"button"})) is not None:
             gone += self.cut(at)
         if tag in SIBLINGS and (at := self.innermost(*SIBLINGS[tag])) is not None:
             # An outer row or group ends at its own kind even where cells are still open.
@@ -165,8 +171,13 @@ class _Open:
 
     def closed(self, tag: str) -> list[tuple[str, int]]:
         """What the end tag of ``tag`` ends, ``tag`` itself first; nothing where none is open."""
+        if self.stack and self.stack[-1][0] == tag:
+            self.counts[tag] -= 1
+            return [self.stack.pop()]
+        if not self.counts.get(tag):
+            return []
         if tag in INLINE:
-            stops = BREAKS | SCOPES | SIBLINGS.keys()
+            stops = STOP_INLINE
         elif tag in SIBLINGS:
             stops = SIBLINGS[tag][1] - {"tr"}
         else:
@@ -225,8 +236,10 @@ def blocks_of(page: str | None) -> tuple[list[str], list[bool]]:
             piece.clear()
 
     def leave(gone: list[tuple[str, int]]) -> None:
-        if any(tag not in INLINE for tag, _ in gone):
-            end()
+        for name, _ in gone:
+            if name not in INLINE:
+                end()
+                break
         for _, n in gone:
             content.discard(n)
             skipped.discard(n)
@@ -262,40 +275,50 @@ def blocks_of(page: str | None) -> tuple[list[str], list[bool]]:
     return texts, inside
 
 
-def _hashes(blocks: list[str]) -> tuple[list[np.ndarray], list[int]]:
-    """Chosen runs of each stretch of blocks, and the stretch of each block. A stretch has ``RUN`` words or more, or is all that there is."""
-    stretches: list[list[bytes]] = []
-    at: list[int] = []
-    short = False  # whether the last stretch may still grow
-    for block in blocks:
-        words = block.encode("utf-8", "surrogatepass").split()
-        if len(words) >= RUN:
-            stretches.append(words)
-            short = False
-        elif short:
-            stretches[-1] += words
-        else:
-            stretches.append(words)
-            short = True
-        at.append(len(stretches) - 1)
-    out = []
-    for words in stretches:
-        if len(words) < RUN:
-            out.append(np.empty(0, np.int64))
-            continue
-        runs = shingles(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), RUN)
-        if len(runs) > WINDOW:
-            runs = np.lib.stride_tricks.sliding_window_view(runs, WINDOW).min(axis=1)
-        out.append(np.unique(runs).view(np.int64))
-    return out, at
-
+def _hashes(pages: list[list[str]], memo: WordHashes) -> tuple[list[np.ndarray], list[list[int]], np.ndarray]:
+    """Chosen runs of each stretch of blocks, the stretch of each block of each page, and the first stretch of each page (one more at the end).
 
-def kept_blocks(blocks: list[str], inside: list[bool], template: np.ndarray) -> list[str]:
+    A stretch has ``RUN`` words or more, or is all that there is. All pages are hashed at once.
+    """
+    stretches: list[list[bytes]] = []
+    places, firsts = [], [0]
+    for blocks in pages:
+        short = False  # whether the last stretch may still grow
+        at: list[int] = []
+        for block in blocks:
+            words = block.encode("utf-8", "surrogatepass").split()
+            if short and len(words) < RUN:
+                stretches[-1] += words
+            else:
+                stretches.append(words)
+                short = len(words) < RUN
+            at.append(len(stretches) - 1)
+        places.append(at)
+        firsts.append(len(stretches))
+    lengths = np.array([len(w) for w in stretches], np.int64)
+    hashes = np.concatenate([memo.of(w) for w in stretches]) if stretches else np.empty(0, np.uint64)
+    runs = shingles(hashes, RUN) if len(hashes) >= RUN else np.empty(0, np.uint64)
+    least = runs.copy()  # the smallest of the WINDOW runs that begin here
+    for i in range(1, WINDOW):
+        np.minimum(least[:-i], runs[i:], out=least[:-i])
+    n_runs = np.maximum(lengths - RUN + 1, 0)
+    wide = n_runs > WINDOW
+    n_chosen = np.where(wide, n_runs - WINDOW + 1, n_runs)
+    ends = starts_of(n_chosen)
+    where = np.arange(ends[-1]) + np.repeat(starts_of(lengths)[:-1] - ends[:-1], n_chosen)
+    chosen = np.where(np.repeat(wide, n_chosen), least[where], runs[where]).view(np.int64)
+    return np.split(chosen, ends[1:-1]) if stretches else [], places, np.array(firsts)
+
+
+def kept_blocks(blocks: list[str], inside: list[bool], template: np.ndarray, memo: WordHashes) -> list[str]:
     """The blocks that stay on a host with these template runs."""
     content = any(inside)
-    runs, at = _hashes(blocks) if len(template) else ([], [])
-    gone = [len(r) > 0 and 2 * int(np.isin(r, template).sum()) > len(r) for r in runs]
-    return [b for i, b in enumerate(blocks) if (inside[i] or not content) and not (gone and gone[at[i]])]
+    gone: list[bool] = []
+    if len(template):
+        runs, (at,), _ = _hashes([blocks], memo)
+        out = [len(r) > 0 and 2 * int(np.isin(r, template).sum()) > len(r) for r in map(np.unique, runs)]
+        gone = [out[i] for i in at]
+    return [b for i, b in enumerate(blocks) if (inside[i] or not content) and not (gone and gone[i])]
 
 
 def _templates(pages: DataFrame) -> DataFrame:
@@ -314,13 +337,12 @@ def host_templates(rows: DataFrame) -> DataFrame:
     """(host, template) for the hosts of ``rows`` (host, html) that have one."""
 
     def parse(batches):
+        memo = WordHashes()
         for batch in (part for whole in batches for part in slices(whole, 200)):
-            digests, chosen = [], []
-            for page in batch.column(1).to_pylist():
-                blocks, _ = blocks_of(page)
-                digests.append(xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63))
-                runs = _hashes(blocks)[0]
-                chosen.append(np.unique(np.concatenate(runs)) if runs else np.empty(0, np.int64))
+            pages = [blocks_of(page)[0] for page in batch.column(1).to_pylist()]
+            digests = [xxhash.xxh3_64_intdigest("\n".join(blocks).encode("utf-8", "surrogatepass")) - (1 << 63) for blocks in pages]
+            runs, _, firsts = _hashes(pages, memo)
+            chosen = [np.unique(np.concatenate(runs[i:j])) if j > i else np.empty(0, np.int64) for i, j in zip(firsts, firsts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(chosen, pa.list_(pa.int64()))], names=["host", "page", "runs"])
 
     parsed = rows.select("host", "html").mapInArrow(parse, "host string, page long, runs array<long>")
@@ -341,11 +363,12 @@ def extract(pages: DataFrame) -> DataFrame:
     templates = staged(host_templates(rows), "host-templates")
 
     def texts(batches):
+        memo = WordHashes()
         for batch in (part for whole in batches for part in slices(whole, 200)):
             out = []
             for page, template in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
                 blocks, inside = blocks_of(page)
-                out.append(" ".join(kept_blocks(blocks, inside, np.array(template.as_py() or [], np.int64))))
+                out.append(" ".join(kept_blocks(blocks, inside, np.array(template.as_py() or [], np.int64), memo)))
             columns = [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["page_id", "url", "text", "n_chars"])
 

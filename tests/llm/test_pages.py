@@ -105,11 +105,33 @@ def test_hosts_of_any_size(spark, n, tag):
     assert got.count() == n and got.where(f"text <> {want}").count() == 0
 
 
+def chosen_by_hand(blocks):
+    """The smallest of every eight runs of eight words in a row, stretch by stretch."""
+    import numpy as np
+
+    from marquee.llm.common import WordHashes, shingles
+
+    out, waiting = set(), None
+    stretches = []
+    for words in (b.split() for b in blocks):
+        if len(words) < 8 and waiting is not None:
+            waiting += words
+            continue
+        waiting = words if len(words) < 8 else None
+        stretches.append(words)
+    for words in stretches:
+        if len(words) >= 8:
+            runs = [int(x) for x in shingles(WordHashes().of([w.encode() for w in words]), 8)]
+            out |= {min(runs[i : i + 8]) for i in range(len(runs) - 7)} if len(runs) > 8 else set(runs)
+    return set(np.array(sorted(out), np.uint64).view(np.int64).tolist())
+
+
 def test_templates_against_brute_force(spark):
     """Runs counted page by page in plain Python on random pages of few words."""
     import numpy as np
 
     from marquee.llm import html_text
+    from marquee.llm.common import WordHashes
 
     rng = np.random.default_rng(4)
     rows = []
@@ -120,7 +142,8 @@ def test_templates_against_brute_force(spark):
     got = {r["host"]: set(r["template"]) for r in html_text.host_templates(spark.createDataFrame(rows, SCHEMA).selectExpr("regexp_extract(url, '//([^/]*)', 1) AS host", "html").repartition(4)).collect()}
     for h in range(3):
         pages = {tuple(html_text.blocks_of(html)[0]) for _, url, html in rows if url == f"http://h{h}.example/"}
-        runs = [set(np.concatenate(html_text._hashes(list(p))[0]).tolist()) for p in pages]
+        runs = [set(np.concatenate(html_text._hashes([list(p)], WordHashes())[0]).tolist()) for p in pages]
+        assert runs == [chosen_by_hand(p) for p in pages]
 
         def most(groups):
             counts = Counter(run for group in groups for run in set().union(*group))
