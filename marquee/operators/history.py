@@ -120,3 +120,45 @@ def group_metrics(groups: DataFrame, items: DataFrame, rated: DataFrame) -> Data
         .join(scored, "group_id", "left")
         .select("group_id", zero("queued"), zero("watched"), "avg_score")
     )
+
+
+#: Sums that ``group_metrics`` follows from, one row per group; parts of disjoint sets of rows add up to the parts of all.
+PARTS = ["queued", "watched", "score_sum", "scores"]
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("group_id").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PARTS])
+
+
+def metric_parts(items: DataFrame, rated: DataFrame) -> DataFrame:
+    """(group_id, queued, watched, score_sum, scores) of watchlist rows and ratings, or of change feeds of them.
+
+    With a ``change`` column an ``insert`` or ``update_postimage`` counts for its row and a ``delete`` or ``update_preimage`` against it; a row
+    that moves to another group changes both. Scores are whole numbers, so sums stay exact however often rows come and go.
+    """
+
+    def sign(df: DataFrame) -> Column:
+        if "change" not in df.columns:
+            return F.lit(1)
+        return F.when(F.col("change").isin("insert", "update_postimage"), 1).otherwise(-1)
+
+    none = F.lit(0).cast("long")
+    counted = items.select("group_id", *[F.when(F.col("status") == s, sign(items)).otherwise(0).cast("long").alias(s) for s in PARTS[:2]])
+    scored = rated.filter(F.col("score").isNotNull()).select(
+        "group_id", (F.col("score") * sign(rated)).cast("long").alias("score_sum"), sign(rated).cast("long").alias("scores")
+    )
+    both = counted.withColumns({"score_sum": none, "scores": none}).unionByName(scored.withColumns({"queued": none, "watched": none}))
+    return _added(both)
+
+
+def merge_metric_parts(stored: DataFrame, changes: DataFrame) -> DataFrame:
+    """The stored parts with those of a change feed added; groups that nothing is left of go."""
+    both = _added(stored.select("group_id", *PARTS).unionByName(changes.select("group_id", *PARTS)))
+    return both.filter(F.greatest(*[F.abs(c) for c in PARTS]) > 0)
+
+
+def metrics_from_parts(groups: DataFrame, parts: DataFrame) -> DataFrame:
+    """What ``group_metrics`` gives, without the rows behind the parts."""
+    mean = F.when(F.col("scores") > 0, F.round(F.col("score_sum") / F.col("scores"), 1)).alias("avg_score")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in PARTS[:2]]
+    return groups.select("group_id").join(parts, "group_id", "left").select("group_id", *counts, mean)

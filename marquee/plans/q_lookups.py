@@ -8,6 +8,8 @@ from marquee.operators import history, search
 from marquee.operators.knn import knn
 from marquee.plans import views as V
 from marquee.plans.registry import query, with_views
+from marquee.session import staged
+from marquee.sources.tables import change_feed
 
 
 @query(
@@ -199,14 +201,17 @@ def groups_members(spark, sf):
     return rows.withColumn("members", F.array_join("members", ","))
 
 
+_METRICS = """SELECT c_custkey AS group_id, coalesce(queued, 0) AS queued, coalesce(watched, 0) AS watched, coalesce(avg_score, -1) AS avg_score
+  FROM customer LEFT JOIN (SELECT group_id, count(*) FILTER (status = 'queued') AS queued,
+    count(*) FILTER (status = 'watched') AS watched FROM watchlist GROUP BY 1) w ON c_custkey = w.group_id
+  LEFT JOIN (SELECT group_id,
+    ((sum(score) * 20 + count(*)) // (2 * count(*)))::BIGINT / 10.0::DOUBLE AS avg_score FROM ratings GROUP BY 1) r ON c_custkey = r.group_id"""
+
+
 @query(
     "group_metrics",
     with_views(
-        """SELECT c_custkey AS group_id, coalesce(queued, 0) AS queued, coalesce(watched, 0) AS watched, coalesce(avg_score, -1) AS avg_score
-           FROM customer LEFT JOIN (SELECT group_id, count(*) FILTER (status = 'queued') AS queued,
-             count(*) FILTER (status = 'watched') AS watched FROM watchlist GROUP BY 1) w ON c_custkey = w.group_id
-           LEFT JOIN (SELECT group_id,
-             ((sum(score) * 20 + count(*)) // (2 * count(*)))::BIGINT / 10.0::DOUBLE AS avg_score FROM ratings GROUP BY 1) r ON c_custkey = r.group_id""",
+        _METRICS,
         V.WATCHLIST,
         V.RATINGS,
     ),
@@ -215,3 +220,21 @@ def group_metrics(spark, sf):
     groups = V.load(spark, sf, "customer").select(F.col("c_custkey").alias("group_id"))
     metrics = history.group_metrics(groups, V.watchlist(spark, sf), V.ratings(spark, sf))
     return metrics.withColumn("avg_score", F.coalesce("avg_score", F.lit(-1.0)))
+
+
+@query("group_metrics_incremental", with_views(_METRICS, V.WATCHLIST, V.RATINGS))
+def group_metrics_incremental(spark, sf):
+    """Stored sums of an earlier state of both tables, brought up to date by the change feeds to the present one."""
+    groups = V.load(spark, sf, "customer").select(F.col("c_custkey").alias("group_id"))
+    items, rated = V.watchlist(spark, sf), V.ratings(spark, sf)
+    # Earlier some items were in another group or state, some ratings lower or not there, and some rows have been deleted since.
+    moved = F.when(F.col("item_id") % 5 == 0, F.col("group_id") + 1).otherwise(F.col("group_id"))
+    state = F.when(F.col("item_id") % 3 == 0, F.lit("queued")).otherwise(F.col("status"))
+    gone = items.filter("item_id % 4 = 0").withColumn("item_id", -1 - F.col("item_id"))
+    items_before = items.withColumns({"group_id": moved, "status": state}).unionByName(gone)
+    lower = F.when(F.col("rating_id") % 3 == 0, F.lit(1)).otherwise(F.col("score"))
+    rated_before = rated.filter("rating_id % 7 <> 0").withColumn("score", lower)
+    stored = staged(history.metric_parts(items_before, rated_before), "metric-parts")
+    feeds = change_feed(items_before, items, ["item_id"]), change_feed(rated_before, rated, ["rating_id"])
+    metrics = history.metrics_from_parts(groups, history.merge_metric_parts(stored, history.metric_parts(*feeds)))
+    return metrics.withColumn("avg_score", F.coalesce("avg_score", F.lit(-1.0)))

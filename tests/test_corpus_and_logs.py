@@ -151,6 +151,38 @@ def test_history_keeps_facts_without_a_movie(spark):
     assert sorted(tuple(r) for r in metrics) == [(7, 1, 1, None), (8, 0, 0, None)]
 
 
+def test_metric_parts_follow_inserts_updates_and_deletes(spark):
+    """Three days of random changes; what is stored is only ever added to."""
+    import random
+
+    from marquee.sources.tables import change_feed
+
+    random.seed(3)
+    groups = spark.createDataFrame([(g,) for g in range(6)], "group_id int")
+    item_schema, rate_schema = "item_id bigint, group_id int, status string", "rating_id bigint, group_id int, score int"
+
+    def day():
+        states, scores = ["queued", "watched", "dropped", None], [1, 4, 7, 10, None]
+        items = [(i, random.choice([0, 1, 2, None]), random.choice(states)) for i in range(30) if random.random() < 0.7]
+        rated = [(i, random.choice([0, 1, 3]), random.choice(scores)) for i in range(30) if random.random() < 0.7]
+        return spark.createDataFrame(items, item_schema), spark.createDataFrame(rated, rate_schema)
+
+    days = [day() for _ in range(3)]
+    days.append((days[0][0].limit(0), days[0][1].limit(0)))
+    stored = history.metric_parts(*days[0])
+    for before, after in zip(days, days[1:]):
+        feeds = change_feed(before[0], after[0], ["item_id"]), change_feed(before[1], after[1], ["rating_id"])
+        rows = history.merge_metric_parts(stored, history.metric_parts(*feeds)).collect()
+        stored = spark.createDataFrame(rows, stored.schema)
+        assert sorted(map(str, rows)) == sorted(map(str, history.merge_metric_parts(history.metric_parts(*after), stored.limit(0)).collect()))
+        got, want = history.metrics_from_parts(groups, stored), history.group_metrics(groups, *after)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert rows == []
+    # A change of nothing changes nothing.
+    nothing = change_feed(days[0][0], days[0][0], ["item_id"]), change_feed(days[0][1], days[0][1], ["rating_id"])
+    assert history.metric_parts(*nothing).count() == 0
+
+
 def test_stream_lands_once_per_window_over_many_batches(spark, tmp_path):
     schema = "id bigint, v string, fetched_at timestamp"
     source, target, state = (str(tmp_path / p) for p in ("in", "out", "state"))
