@@ -226,7 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
             yield pa.RecordBatch.from_arrays(order, names=["doc_id", "quality", "x"])
 
     joined = doc_columns(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
-    rows = sorted((r["doc_id"], bytes(r["x"]), r["quality"]) for r in joined.mapInArrow(inputs, "doc_id long, quality int, x binary").dropDuplicates(["doc_id"]).collect())
+    # Of the texts of one id the one with the smallest inputs stands, wherever its rows lie.
+    one = joined.mapInArrow(inputs, "doc_id long, quality int, x binary").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("quality").alias("quality"))
+    rows = sorted((r["doc_id"], bytes(r["x"]), r["quality"]) for r in one.collect())
     x = np.array([np.frombuffer(r[1], "<f4") for r in rows], np.float64).reshape(len(rows), 2 * DIM + 2)
     return _fit(vectors, x, np.array([r[2] for r in rows], np.float64))
 

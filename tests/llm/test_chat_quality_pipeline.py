@@ -90,6 +90,14 @@ def test_stages_in_order(stages):
         assert set(rows(stages[b])) <= set(rows(stages[a]))
 
 
+def test_fit_does_not_depend_on_the_order_of_rows(spark):
+    texts = [(i % 40, f"{'good clear words here' if i % 2 else 'zz qq xx yy'} {i} {i * 7}") for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    models = [quality.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), labels) for n, rows in ((1, texts), (3, texts[::-1]), (7, texts))]
+    assert all(m.temperature == models[0].temperature and (m.w1 == models[0].w1).all() and (m.vectors == models[0].vectors).all() for m in models)
+
+
+
 def test_quality_keeps_clean_documents(spark, stages):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     kept, before = rows(stages["quality"]), rows(stages["documents"])
