@@ -65,15 +65,17 @@ def title_matches(movies: DataFrame, requests: DataFrame, k: int) -> DataFrame:
 
     A needle with three literal characters in a row meets the titles of its rarest trigrams by a join (``trigrams``). The others have no equality to join
     on: a block of them goes to every task, after a check of its size, and the catalogue is scanned where it lies; further blocks are further passes, and
-    where there are none there is no such pass.
+    where there are none there is no such pass. The catalogue is never broadcast, however small its files are.
     """
     # Lower-cased once per title and once per request, not once per pair.
     lowered = movies.withColumn("_title", F.lower("title")).withColumn("_original", F.lower("original_title"))
     asked = requests.select("request_id", "needle").withColumn("_needle", F.lower("needle")).withColumn("_wild", F.rlike("needle", F.lit("[%_]")))
     has_trigram = F.rlike("_needle", F.lit("(?s)[^%_]{3}"))
     found = trigrams.postings(lowered, "movie_id", ["_title", "_original"])
-    pairs = trigrams.candidates(asked.where(has_trigram), found, "movie_id", "_needle").join(asked, ["request_id", "_needle"])
-    hits = [lowered.join(pairs, "movie_id").where(_hit("_title") | _hit("_original"))]
+    few = requests.limit(BLOCK_REQUESTS + 1).count() <= BLOCK_REQUESTS
+    pairs = trigrams.candidates(asked.where(has_trigram), found, "movie_id", "_needle", few=few)
+    pairs = pairs.join(trigrams.met_with(asked, few), ["request_id", "_needle"])
+    hits = [lowered.hint("merge").join(pairs, "movie_id").where(_hit("_title") | _hit("_original"))]
     for block in _request_blocks(asked.where(~has_trigram)):
         hits.append(lowered.join(F.broadcast(block), _hit("_title") | _hit("_original")))
     matched = reduce(DataFrame.unionByName, hits).drop("_title", "_original", "_needle", "_wild")

@@ -32,15 +32,25 @@ def postings(titles: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return titles.select(F.explode(all_of).alias("tri"), key)
 
 
-def candidates(requests: DataFrame, found: DataFrame, key: str, needle: str = "needle", request: str = "request_id") -> DataFrame:
+def met_with(requests: DataFrame, few: bool) -> DataFrame:
+    """``requests`` for a join with the catalogue: broadcast when they are ``few``, else both sides are shuffled."""
+    return F.broadcast(requests) if few else requests.hint("merge")
+
+
+def candidates(
+    requests: DataFrame, found: DataFrame, key: str, needle: str = "needle", request: str = "request_id", few: bool = False
+) -> DataFrame:
     """request, needle, ``key``: the rows of ``found`` (``postings``) that hold the rarest trigrams of each request's ``needle``; only of needles that have any.
 
-    The frequency of a trigram is counted for the trigrams of the requests alone; one that no title has ends its request.
+    The frequency of a trigram is counted for the trigrams of the requests alone; one that no title has ends its request. With
+    ``few`` the requests are known to be few and go to the postings; otherwise both are shuffled. The postings never go to the
+    driver: of exploded rows Spark knows only the size of the file they come from.
     """
     asked = requests.select(request, needle, F.explode(literal_trigrams(F.col(needle))).alias("tri"))
     wanted = asked.select("tri").distinct()
-    counts = found.join(wanted, "tri", "left_semi").groupBy("tri").agg(F.count(F.lit(1)).alias("n"))
+    counts = found.join(met_with(wanted, few), "tri", "left_semi").groupBy("tri").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts if few else counts.hint("merge")
     ranked = asked.join(counts, "tri", "left").groupBy(request, needle).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "tri"))).alias("all"))
     rarest = ranked.select(request, needle, F.explode(F.slice("all", 1, RAREST)).alias("one"), F.least(F.size("all"), F.lit(RAREST)).alias("of"))
-    met = rarest.select(request, needle, "of", F.col("one.tri").alias("tri")).join(found, "tri")
+    met = met_with(rarest.select(request, needle, "of", F.col("one.tri").alias("tri")), few).join(found, "tri")
     return met.groupBy(request, needle, key).agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("of")).where("n = of").select(request, needle, key)

@@ -124,6 +124,38 @@ def test_titles_by_trigrams(spark):
     assert "NestedLoop" not in plan_of(search.title_matches(movies, literal, 6))
 
 
+def broadcast_scans(df):
+    """The scans whose rows the physical plan broadcasts as they are, not reduced by an aggregate or a rank."""
+    found, inside = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        body = line.lstrip(" :+-*")
+        depth = len(line) - len(body)
+        inside = None if inside is not None and depth <= inside else inside
+        if inside is None and body.startswith("BroadcastExchange"):
+            inside = depth
+        if "Aggregate(" in body or body.startswith("Window"):
+            inside = None
+        if inside is not None and "FileScan" in body:
+            found.append(body)
+    return found
+
+
+@pytest.mark.parametrize("block", [10_000, 1])
+def test_the_catalogue_is_not_broadcast_to_title_requests(spark, monkeypatch, block):
+    """A dictionary-coded file is far smaller than its rows, and its postings are more still."""
+    path = scratch_dir(spark, "titles")
+    rows = [(i, f"title {i % 3}", f"Brand#{i % 5}", float(i)) for i in range(50)]
+    spark.createDataFrame(rows, "movie_id long, title string, original_title string, vote_average double").write.parquet(path)
+    movies = spark.read.parquet(path)
+    requests = [(f"r{i}", f"brand#{i}") for i in range(6)]
+    asked = spark.createDataFrame(requests, "request_id string, needle string")
+    monkeypatch.setattr(search, "BLOCK_REQUESTS", block)
+    for df in (search.movie_details(movies, asked, 5), search.compare_movies(movies.withColumn("overview", movies.title), asked)):
+        assert not broadcast_scans(df)
+    got = sorted((r["request_id"], r["rank"], r["movie_id"]) for r in search.movie_details(movies, asked, 5).collect())
+    assert got == brute(rows, requests, 5)
+
+
 def test_trigrams_of_needles(spark):
     from pyspark.sql import functions as F
 
