@@ -3,6 +3,9 @@
 Each query goes to its nearest cells as rows of a table. A cell's index rows are split into parts by a hash of their id, its queries into parts by a hash of
 theirs, both by counts that are known before, and every pair of parts is one group of bounded size: a crowded cell, or one that most queries visit, is many
 groups. A group multiplies its two matrices and keeps k rows for each query; those are reduced by key.
+
+Every row is sent once for each part of the queries and every query once for each part of the rows, so the parts of a cell are few: ``SPLIT`` each way, and
+more only where a group would pass what a task holds.
 """
 
 from __future__ import annotations
@@ -11,15 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from marquee.operators import knn as scan
 
-#: Rows of the index, and queries, that meet in one group.
+#: Rows of the index, and queries, that meet in one group at most.
 GROUP_ROWS = 20_000
 GROUP_QUERIES = 2_000
+#: Parts each way that a cell is split into for smaller groups than those.
+SPLIT = 4
 
 
 def probed(queries: DataFrame, centroids: np.ndarray, nprobe: int) -> DataFrame:
@@ -43,6 +48,12 @@ def probed(queries: DataFrame, centroids: np.ndarray, nprobe: int) -> DataFrame:
     return asked.mapInArrow(run, f"query_id {id_type.simpleString()}, query_vector array<double>, cell int")
 
 
+def _parts(size: int, most: int) -> Column:
+    """The parts of a cell by its count: of ``size`` rows up to ``SPLIT`` parts, from there on of ``most`` rows."""
+    n = F.count(F.lit(1))
+    return F.greatest(F.least(F.ceil(n / size), F.lit(SPLIT)), F.ceil(n / max(size, most))).cast("int")
+
+
 def knn_join(
     index: DataFrame,
     centroids: np.ndarray,
@@ -55,14 +66,18 @@ def knn_join(
     group_rows: int = GROUP_ROWS,
     group_queries: int = GROUP_QUERIES,
 ) -> DataFrame:
-    """``knn.knn_cells`` (query_id, id, similarity, rank) for more queries than a block holds; with all cells probed the exact result."""
+    """``knn.knn_cells`` (query_id, id, similarity, rank) for more queries than a block holds; with all cells probed the exact result.
+
+    Groups are of ``group_rows`` and ``group_queries`` while that splits a cell into ``SPLIT`` parts at most; beyond, groups grow up to ``GROUP_ROWS`` and
+    ``GROUP_QUERIES``, or to what was asked for if that is more, before there are more of them.
+    """
     id_type, query_type = index.schema[id_col].dataType, queries.schema["query_id"].dataType
     arrow_id, arrow_query = to_arrow_type(id_type), to_arrow_type(query_type)
     dim = centroids.shape[1]
     rows = index.select(id_col, vec_col, "cell").filter(F.col(vec_col).isNotNull())
     asked = probed(queries, centroids, nprobe)
-    held = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("row_parts"))
-    met = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_queries).cast("int").alias("query_parts"))
+    held = rows.groupBy("cell").agg(_parts(group_rows, GROUP_ROWS).alias("row_parts"))
+    met = asked.groupBy("cell").agg(_parts(group_queries, GROUP_QUERIES).alias("query_parts"))
     # One row for each cell, of which there are as many as centroids on the driver.
     parts = F.broadcast(held.join(met, "cell"))
 

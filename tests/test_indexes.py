@@ -52,6 +52,16 @@ def test_cell_join_equals_probed_scan(spark, cells):
     assert hits(joined) == hits(knn.knn_cells(index, centroids, asked, 5, 2, digits=5))
 
 
+def test_a_cell_has_few_parts_until_a_group_is_full(spark):
+    """Rows are sent once for each part of the queries: parts by a small group size alone would send them ever more often."""
+
+    def parts(n, size, most):
+        return spark.range(n).agg(knn_join._parts(size, most)).head()[0]
+
+    assert [parts(n, 10, 100) for n in (1, 10, 11, 35, 400, 401, 1001)] == [1, 1, 2, 4, 4, 5, 11]
+    assert [parts(n, 300, 100) for n in (100, 301, 3000)] == [1, 2, 10]
+
+
 def test_cell_join_moves_no_query_to_the_driver(spark, cells):
     _, index, centroids = cells
     joined = knn_join.knn_join(index, centroids, queries(spark, 10), 5, 2)
