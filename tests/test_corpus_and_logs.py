@@ -79,6 +79,22 @@ def test_hashed_tokens():
     assert np.isclose(np.linalg.norm(v[0]), 1) and v[0] @ v[3] < 1
 
 
+def test_hashed_tokens_hold_the_words_of_few_texts_at_once(monkeypatch):
+    texts = ["a b c d", "", "e f", "g" * 40, "h i j k l", "", "m"] * 20
+    whole, held, factorize = embed.hashed_tokens(16)(texts), [], embed.pd.factorize
+    monkeypatch.setattr(embed, "HASHED_CHARS", 30, raising=False)
+    monkeypatch.setattr(embed.pd, "factorize", lambda words: held.append(len(words)) or factorize(words))
+    assert np.array_equal(embed.hashed_tokens(16)(texts), whole)
+    assert max(held) < 40 and sum(held) == 260
+    assert embed.hashed_tokens(16)([]).shape == (0, 16)
+
+
+def test_embedding_calls_of_a_task_are_made_one_by_one(spark):
+    df = spark.createDataFrame([(i, f"t{i}" if i % 3 else None) for i in range(25)], "id int, text string").coalesce(1)
+    got = embed.embed_documents(df, "text", lambda texts: np.full((len(texts), 2), len(texts)), batch=10).collect()
+    assert [(r["id"], r["embedding_vector"][0]) for r in got] == [(i, 10.0 if i < 20 else 5.0) for i in range(25)]
+
+
 def test_incremental_embedding_is_idempotent_and_refreshes(spark):
     f = embed.hashed_tokens(8)
     schema = "movie_id bigint, title string, overview string, text string"
