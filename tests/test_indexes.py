@@ -62,6 +62,13 @@ def test_a_cell_has_few_parts_until_a_group_is_full(spark):
     assert [parts(n, 300, 100) for n in (100, 301, 3000)] == [1, 2, 10]
 
 
+def test_the_length_of_a_vector_is_summed_once_for_all_its_numbers(spark):
+    df = spark.createDataFrame([([3.0, 4.0],), (None,), ([],)], "v array<float>").select(ann.unit("v").alias("u"))
+    assert [r["u"] and [round(x, 6) for x in r["u"]] for r in df.collect()] == [[0.6, 0.8], None, []]
+    optimized = plan_of(df).split("Optimized Logical Plan")[1].split("Physical Plan")[0]
+    assert "aggregate(" not in optimized.split("transform(v")[1]
+
+
 def test_cell_join_moves_no_query_to_the_driver(spark, cells):
     _, index, centroids = cells
     joined = knn_join.knn_join(index, centroids, queries(spark, 10), 5, 2)
