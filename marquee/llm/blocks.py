@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import partitions
+from marquee.llm.common import in_small_batches, partitions
 from marquee.session import staged
 
 BLOCK_CHARS = 2_000_000
@@ -81,7 +81,7 @@ def in_blocks(rows: DataFrame, text: str = "text", label: str = "blocks") -> Dat
         if held:
             yield flush()
 
-    return staged(rows.mapInArrow(cut, "block long, data binary"), label)
+    return staged(in_small_batches(rows).mapInArrow(cut, "block long, data binary"), label)
 
 
 def rows_of(data: bytes) -> pa.Table:
@@ -150,7 +150,7 @@ def seen_again(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.ndar
         types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["block", "bucket", "names", "counts"])
 
-    dealt = blocks.mapInArrow(deal, "bucket int, block long, keys binary, more binary, extra binary")
+    dealt = in_small_batches(blocks).mapInArrow(deal, "bucket int, block long, keys binary, more binary, extra binary")
     return dealt.groupBy("bucket").applyInArrow(add_up, "block long, bucket int, names binary, counts binary")
 
 
@@ -178,7 +178,8 @@ def with_counts(blocks: DataFrame, keys_of: Callable[[pa.Table], Iterable[np.nda
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([as_array(out[f.name], f.type) for f in target], schema=target)
 
-    return blocks.join(pieces, "block", "left").select("data", "pieces", "block").mapInArrow(run, schema)
+    joined = blocks.join(pieces, "block", "left").select("data", "pieces", "block")
+    return in_small_batches(joined).mapInArrow(run, schema)
 
 
 def buckets(blocks: DataFrame) -> int:

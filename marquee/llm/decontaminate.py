@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import doc_columns, shingles, slices, starts_of, texts_of
+from marquee.llm.common import doc_columns, in_small_batches, shingles, slices, starts_of, texts_of
 
 WINDOW = 5
 LEAST = 3
@@ -211,7 +211,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
     """doc_id, item_id, item_tokens, share, n_slots, consistency, verbatim: one row for each document and item that it holds."""
     schema = "doc_id long, item_id long, item_tokens long, share double, n_slots long, consistency double, verbatim boolean"
     types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.bool_()]
-    rows = doc_columns(docs)
+    rows = in_small_batches(doc_columns(docs))
     out = None
     for block in _blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(block)

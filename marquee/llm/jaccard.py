@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.blocks import buckets, counts_of, in_blocks, with_counts
-from marquee.llm.common import WordHashes, doc_columns, plain_words, shingles
+from marquee.llm.common import WordHashes, doc_columns, in_small_batches, plain_words, shingles
 from marquee.llm.components import components
 from marquee.session import staged
 
@@ -183,7 +183,7 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
     firsts = firsts.join(members.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b")
     reach = firsts.select("family", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "b", "tb")
     tried = members.select("family", "band", F.col("sid").alias("a"), F.col("tokens").alias("ta")).join(reach, ["family", "band"]).where("a <> b")
-    first_links = staged(tried.select("a", "ta", "b", "tb").mapInArrow(_overlap(percent), "a string, b string"), "links")
+    first_links = staged(in_small_batches(tried.select("a", "ta", "b", "tb")).mapInArrow(_overlap(percent), "a string, b string"), "links")
     met = components(first_links)
 
     spread = members.join(met, F.col("sid") == F.col("node"), "left").select("family", "band", "sid", "tokens", F.coalesce("component", F.lit("")).alias("met"))

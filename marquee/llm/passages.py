@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.blocks import bucket_of, buckets, counts_of, in_blocks, rows_of, with_counts
-from marquee.llm.common import mixed, shingles, starts_of
+from marquee.llm.common import in_small_batches, mixed, shingles, starts_of
 from marquee.llm.components import components
 from marquee.llm.jaccard import set_links
 from marquee.session import staged
@@ -348,4 +348,5 @@ def remove_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
                 arrays = [columns[f.name].cast(f.type) for f in target]
                 yield pa.RecordBatch.from_arrays([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], schema=target)
 
-    return blocks.join(cuts, "block", "left").select("data", "lines", "windows", "rids").mapInArrow(run, schema)
+    joined = blocks.join(cuts, "block", "left").select("data", "lines", "windows", "rids")
+    return in_small_batches(joined).mapInArrow(run, schema)

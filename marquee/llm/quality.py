@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WordHashes, doc_columns, slices, starts_of, texts_of
+from marquee.llm.common import WordHashes, doc_columns, in_small_batches, slices, starts_of, texts_of
 
 TOKENS = 1 << 15
 DIM = 32
 SEED = 11
-#: Tokens worked on at once: some tens of MB.
+#: Tokens of documents whose vectors are held at once, in several copies of 128 bytes a token.
+RUN = 25_000
+#: Tokens summed up at once of a document with more than four times as many.
 CHUNK = 100_000
 SLICES = 32
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -66,10 +68,10 @@ def _slots(text: str, memo: Slots) -> np.ndarray:
 
 
 def _chunks(arrays: list[np.ndarray]):
-    """Runs of documents with about ``CHUNK`` tokens, longer documents alone."""
+    """Runs of documents with about ``RUN`` tokens, longer documents alone."""
     begin = size = 0
     for i, a in enumerate(arrays):
-        if size and size + len(a) > CHUNK:
+        if size and size + len(a) > RUN:
             yield begin, i
             begin, size = i, 0
         size += len(a)
@@ -90,9 +92,9 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             arrays = [_slots(t, memo) for t in texts_of(batch)]
             for lo, hi in _chunks(arrays):
                 ids = np.concatenate([x for a in arrays[lo:hi] for x in (a, edge)] + [edge])
-                for begin in range(0, len(ids), CHUNK):
-                    own = ids[begin : begin + CHUNK]
-                    wide = index[np.concatenate([ids[max(0, begin - 2) : begin] if begin else edge, own, ids[begin + CHUNK : begin + CHUNK + 2], edge])[: len(own) + 4]]
+                for begin in range(0, len(ids), RUN):
+                    own = ids[begin : begin + RUN]
+                    wide = index[np.concatenate([ids[max(0, begin - 2) : begin] if begin else edge, own, ids[begin + RUN : begin + RUN + 2], edge])[: len(own) + 4]]
                     near = wide[: len(own)] + wide[1 : len(own) + 1] + wide[3 : len(own) + 3] + wide[4 : len(own) + 4]
                     order = np.argsort(own, kind="stable")
                     slots, first = np.unique(own[order], return_index=True)
@@ -114,7 +116,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         return table.slice(0, 1).set_column(2, "sums", pa.array([total.tobytes()], pa.binary()))
 
     schema = "slice int, branch int, sums binary"
-    parts = doc_columns(docs).mapInArrow(contexts, schema)
+    parts = in_small_batches(doc_columns(docs)).mapInArrow(contexts, schema)
     # Added up in two levels, so that no task holds the tables of all others.
     whole = parts.groupBy("slice", "branch").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
     out = np.zeros((SLICES, TOKENS // SLICES, DIM))
@@ -227,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
 
     joined = doc_columns(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
     # Of the texts of one id the one with the smallest inputs stands, wherever its rows lie.
-    one = joined.mapInArrow(inputs, "doc_id long, quality int, x binary").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("quality").alias("quality"))
+    one = in_small_batches(joined).mapInArrow(inputs, "doc_id long, quality int, x binary").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("quality").alias("quality"))
     rows = sorted((r["doc_id"], bytes(r["x"]), r["quality"]) for r in one.collect())
     x = np.array([np.frombuffer(r[1], "<f4") for r in rows], np.float64).reshape(len(rows), 2 * DIM + 2)
     return _fit(vectors, x, np.array([r[2] for r in rows], np.float64))
@@ -246,7 +248,7 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             s = shared.value.scores(pooled(texts_of(batch), shared.value.vectors, memo))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = 20_000) -> DataFrame:
