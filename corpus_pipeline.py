@@ -19,7 +19,7 @@ from marquee.llm import decontaminate as leaks
 from marquee.llm import jaccard, mixing, passages
 from marquee.llm import quality as classifier
 from marquee.llm.common import table
-from marquee.session import scratch_dir, staged
+from marquee.session import passing, scratch_dir, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP_FROM = 0.5
@@ -36,8 +36,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.jaccard_components(docs).where("doc_id <> component_id")
-    return _without(docs.select(COLUMNS), staged(found, "duplicates"))
+    with passing() as keep:
+        found = keep(staged(jaccard.jaccard_components(docs).where("doc_id <> component_id"), "duplicates"))
+    return _without(docs.select(COLUMNS), found)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import staged
+from marquee.session import passing, staged
 
 MAX_ROUNDS = 60
 
@@ -21,8 +21,18 @@ def components(edges: DataFrame) -> DataFrame:
     In each round a node moves to the first node within two steps, and edges between nodes that have met are dropped. The first
     round orders nodes by value, so a star around its smallest node is done at once; later rounds order them by a hash that
     changes, so a long chain shrinks by a constant share each time. Every round is written to the scratch folder, which cuts the
-    lineage. Loops and NULL ends are ignored; without edges there are no rows.
+    lineage; only the last names stay there. Loops and NULL ends are ignored; without edges there are no rows.
     """
+    with passing() as keep:
+        names = _contracted(edges)
+        if names is not None:
+            return keep(names)
+    kind = edges.schema["a"].dataType.simpleString()
+    return edges.sparkSession.createDataFrame([], f"node {kind}, component {kind}")
+
+
+def _contracted(edges: DataFrame) -> DataFrame | None:
+    """Staged names; None without edges."""
     live = staged(edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "edges")
     names = None
     for round_ in range(MAX_ROUNDS):
@@ -44,6 +54,4 @@ def components(edges: DataFrame) -> DataFrame:
         live = staged(right.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     else:
         raise RuntimeError("components did not settle")
-    if names is None:
-        return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     return names

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from marquee.llm.blocks import buckets, counts_of, in_blocks, with_counts
 from marquee.llm.common import WordHashes, doc_columns, in_small_batches, plain_words, shingles
 from marquee.llm.components import components
-from marquee.session import staged
+from marquee.session import passing, staged
 
 #: Shingles with a smaller hash come first in the order: two fifths of them.
 EARLY = np.uint64(2 * 2**64 // 5)
@@ -206,10 +206,12 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach), class_id (the smallest doc_id with the same set)."""
-    sets = staged(shingle_sets(docs, k, percent), "sets")
+    with passing() as keep:
+        sets = keep(staged(shingle_sets(docs, k, percent), "sets"))
     # All rows of a set hold the same; min_by would leave out those without a doc_id.
     one = sets.where("prefix is not null").groupBy("sid").agg(F.first(F.struct("n", "prefix", "tokens")).alias("s")).select("sid", "s.*")
-    found = components(staged(set_links(staged(one, "classes"), percent), "links"))
+    with passing() as keep:
+        found = keep(components(staged(set_links(staged(one, "classes"), percent), "links")))
     named = sets.where("sid is not null").select("doc_id", "n", "sid")
     classes = named.groupBy("sid").agg(F.min("doc_id").alias("class_id"))
     classes = classes.join(found, F.col("sid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "sid"))

@@ -29,7 +29,7 @@ from marquee.llm.blocks import bucket_of, buckets, counts_of, in_blocks, rows_of
 from marquee.llm.common import in_small_batches, mixed, shingles, starts_of
 from marquee.llm.components import components
 from marquee.llm.jaccard import set_links
-from marquee.session import staged
+from marquee.session import passing, staged
 
 BANDS, ROWS = 8, 3
 PERCENT = 80
@@ -233,20 +233,34 @@ def _others(found: DataFrame, cluster: str) -> DataFrame:
     return joined.select("block", "rid", "begin", "end", F.col("first.doc_id").alias("keeper"))
 
 
+def _paragraphs(blocks: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged: ``windows`` (block, keys, keepers) that a document of another block keeps, ``rids`` (block, rids) of the documents whose windows may repeat,
+    ``lines`` (block, rid, doc_id, begin, end, sid) that may repeat, and their distinct ``sets`` (sid, n, prefix, tokens)."""
+    with passing() as keep:
+        found = staged(_repeated(blocks, min_words), "repeated")
+        windows = found.where("bucket is not null").select("bucket", "block", "keys", "at", "places")
+        windows = keep(staged(windows.groupBy("bucket").applyInArrow(_kept_elsewhere, "block long, keys binary, keepers binary"), "windows"))
+        rids = keep(staged(found.where("rids is not null").select("block", "rids"), "rids"))
+        lines = found.where("sid is not null")
+        sets = lines.groupBy("sid").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.min("tokens").alias("tokens"))
+        sets = keep(staged(sets, "sets"))
+        lines = keep(staged(lines.select("block", "rid", "doc_id", "begin", "end", "sid"), "lines"))
+    return windows, rids, lines, sets
+
+
 def repeats(blocks: DataFrame, min_words: int) -> DataFrame:
     """For each block what goes from it: ``lines`` (rid, begin, end, keeper: the document that keeps the line), ``windows`` (keys, keepers) that
     a document of another block keeps, and ``rids`` of the documents whose windows may repeat."""
-    found = staged(_repeated(blocks, min_words), "repeated")
-    lines = found.where("sid is not null")
-    sets = staged(lines.groupBy("sid").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.min("tokens").alias("tokens")), "lines")
-    linked = components(staged(set_links(sets, PERCENT), "links"))
-    named = lines.select("block", "rid", "doc_id", "begin", "end", "sid").join(linked, F.col("sid") == F.col("node"), "left")
+    with passing() as keep:
+        windows, rids, lines, sets = _paragraphs(blocks, min_words)
+        linked = components(staged(set_links(sets, PERCENT), "links"))
+        for table in (windows, rids, lines, linked):
+            keep(table)
+    named = lines.join(linked, F.col("sid") == F.col("node"), "left")
     others = _others(named.withColumn("cluster", F.coalesce("component", "sid")), "cluster")
-    windows = found.where("bucket is not null").select("bucket", "block", "keys", "at", "places")
-    windows = windows.groupBy("bucket").applyInArrow(_kept_elsewhere, "block long, keys binary, keepers binary")
     parts = others.select("block", F.struct("rid", "begin", "end", "keeper").alias("line"))
     parts = parts.unionByName(windows.select("block", F.struct("keys", "keepers").alias("window")), allowMissingColumns=True)
-    parts = parts.unionByName(found.where("rids is not null").select("block", "rids"), allowMissingColumns=True)
+    parts = parts.unionByName(rids, allowMissingColumns=True)
     return parts.groupBy("block").agg(F.collect_set("line").alias("lines"), F.collect_list("window").alias("windows"), F.first("rids", ignorenulls=True).alias("rids"))
 
 
